@@ -1,0 +1,88 @@
+"""Quotation linking: parsing, links against brute force, reply order."""
+
+from __future__ import annotations
+
+import random
+
+from gleanworks.llm import quotes
+
+
+def test_parse():
+    text = "On Monday, Ann wrote:\n> Hello   There\n> world\n>> deeper\n>\n> again\n\nMy answer.\nSecond line\n\nOther"
+    own, passages = quotes.parse_message(text)
+    assert own == "My answer.\nSecond line\n\nOther"
+    assert passages == [(1, "hello there world"), (2, "deeper"), (1, "again"), (0, "my answer. second line"), (0, "other")]
+    assert quotes.parse_message(None) == ("", []) and quotes.parse_message("a > b") == ("a > b", [(0, "a > b")])
+    assert quotes.parse_message("> > x\n>>> y")[1] == [(2, "x"), (3, "y")]
+
+
+def brute(rows, min_words=5):
+    """rows: (conv, turn, text) in order; (reply conv, reply turn, depth, thread) for each."""
+    parsed = [quotes.parse_message(t) for *_, t in rows]
+    up = [None] * len(rows)
+    for k, (conv, turn, _) in enumerate(rows):
+        if conv is None or turn is None:
+            continue
+        best = None
+        for level, p in parsed[k][1]:
+            if not level:
+                continue
+            said = sorted((rows[j][0], rows[j][1], j) for j in range(len(rows)) if None not in rows[j][:2] and (0, p) in parsed[j][1])
+            near = next((s for s in said if s[0] == conv), None)
+            source = near if near and near < (conv, turn, k) else said[0] if said and said[0] < (conv, turn, k) and len(p.split()) >= min_words else None
+            if source and (best is None or (-level, source) > best):
+                best = (-level, source)
+        up[k] = best[1] if best else None
+    out = []
+    for k in range(len(rows)):
+        depth, top = 0, k
+        while up[top]:
+            depth, top = depth + 1, up[top][2]
+        out.append((*(up[k][:2] if up[k] else (None, None)), depth, rows[top][0]))
+    return out
+
+
+def made():
+    r = random.Random(8)
+    rows = []
+    for conv in range(12):
+        said = ["The very same first words of everyone here"]
+        for turn in range(r.randint(2, 7)):
+            own = f"note {conv} {turn} is about point {r.randint(0, 99)}" if turn else said[0]
+            quoted = [f"{'> ' * r.randint(1, 2)}{r.choice(said).upper()}" for _ in range(r.randint(0, 2)) if turn]
+            if conv > 6 and turn == 1:
+                quoted.append("> note 3 1 is about  point")
+            rows.append((conv, turn, "\n\n".join([*quoted, own])))
+            said.append(own)
+    rows += [(None, 1, "> note"), (3, None, "x"), (4, 9, None), (4, 10, ""), (0, 0, rows[0][2]), (5, 20, "> " + "long words " * 20_000 + "\nok")]
+    return rows
+
+
+def test_links_against_brute_force(spark):
+    rows = made()
+    df = spark.createDataFrame([(c, t, "user", x, 1) for c, t, x in rows], "conv_id long, turn long, role string, text string, rank int").coalesce(1)
+    got = quotes.link_quotes(df).collect()
+    key = lambda x: tuple((v is not None, v) for v in x)
+    want = sorted(((c, t, *b) for (c, t, _), b in zip(rows, brute(rows), strict=True)), key=key)
+    assert sorted(((g.conv_id, g.turn, g.reply_conv, g.reply_turn, g.depth, g.thread_conv) for g in got), key=key) == want
+    assert any(g.depth > 1 for g in got) and not any((g.text or "").startswith(">") for g in got)
+    places = {}
+    for g in got:
+        places.setdefault(g.thread_conv, []).append(g)
+    for thread in places.values():
+        assert sorted(g.position for g in thread) == list(range(len(thread)))
+        at = {}
+        for g in thread:
+            at[g.conv_id, g.turn] = min(at.get((g.conv_id, g.turn), 1 << 40), g.position)
+        assert all(at[g.reply_conv, g.reply_turn] < g.position for g in thread if g.reply_conv is not None)
+
+
+def test_query_and_empty_table(spark, sf_dir):
+    chats = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    got = quotes.op10_quotes(spark, sf_dir)
+    assert got.select("conv_id", "turn", "role", "text").exceptAll(chats.select("conv_id", "turn", "role", "text")).count() == 0
+    rows = [(r.conv_id, r.turn, r.text) for r in chats.collect()]
+    key = lambda x: tuple((v is not None, v) for v in x)
+    want = sorted(((c, t, *b) for (c, t, _), b in zip(rows, brute(rows), strict=True)), key=key)
+    assert sorted(((g.conv_id, g.turn, g.reply_conv, g.reply_turn, g.depth, g.thread_conv) for g in got.collect()), key=key) == want
+    assert quotes.link_quotes(chats.limit(0)).count() == 0
