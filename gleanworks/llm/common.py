@@ -8,6 +8,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,7 +70,7 @@ def sorted_runs(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[
         change = np.zeros(table.num_rows - 1, dtype=bool)
         for k in keys:
             column = table[k].combine_chunks()
-            change |= np.asarray(pa.compute.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False), dtype=bool)
+            change |= np.asarray(pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False), dtype=bool)
         cuts = [0, *(np.flatnonzero(change) + 1).tolist(), table.num_rows]
         for a, b in zip(cuts, cuts[1:], strict=False):
             key = tuple(table[k][a].as_py() for k in keys)

@@ -147,8 +147,8 @@ def match_block(model: Quantiser, at: int, radius: float, threshold: float, inde
             near = np.einsum("ij,ij->i", x[a], vectors[b]) >= threshold
             a, b = a[near], b[near]
             np.add.at(counts, k + a, copies[b])
-            firsts = np.flatnonzero(np.r_[True, a[1:] != a[:-1]]) if len(a) else []
-            for s, e in zip(firsts, [*firsts[1:], len(a)], strict=True):
+            firsts = np.flatnonzero(np.r_[len(a) > 0, a[1:] != a[:-1]])
+            for s, e in zip(firsts, np.r_[firsts[1:], len(a)], strict=len(a) > 0):
                 mine = np.unique(group[b[s:e]])
                 if len(mine) > 1:
                     group[np.isin(group, mine[1:])] = mine[0]
