@@ -70,17 +70,17 @@ def _record(fields: list[tuple[str, str]], block: bytes) -> bytes:
 
 
 def records_of(
-    rid: int, page: int | None, uri: str | None, payload: bytes, digest: str, first: tuple[int, int | None] | None, segment_bytes: int, chunk_bytes: int
+    name: str, page: int | None, uri: str | None, payload: bytes, digest: str, first: str | None, segment_bytes: int, chunk_bytes: int
 ) -> list[bytes]:
     """The WARC records of one page, without the two line ends that close each."""
-    name = f"<urn:gleanworks:{rid}>"
-    fields = [("WARC-Type", "response"), ("WARC-Record-ID", name), ("WARC-Date", _DATE), ("WARC-Payload-Digest", f"sha1:{digest}")]
+    own = f"<urn:gleanworks:{name}>"
+    fields = [("WARC-Type", "response"), ("WARC-Record-ID", own), ("WARC-Date", _DATE), ("WARC-Payload-Digest", f"sha1:{digest}")]
     fields += [("WARC-Page-ID", str(page))] if page is not None else []
     uri = "".join(c for c in uri or "" if c.isprintable())
     fields += [("WARC-Target-URI", uri)] if uri else []
     if first is not None:
         fields[0] = ("WARC-Type", "revisit")
-        fields += [("WARC-Profile", _REVISIT), ("WARC-Refers-To", f"<urn:gleanworks:{first[0]}>")]
+        fields += [("WARC-Profile", _REVISIT), ("WARC-Refers-To", f"<urn:gleanworks:{first}>")]
         return [_record(fields, b"HTTP/1.1 200 OK\r\n\r\n")]
     block = _HEAD + chunk(payload, chunk_bytes)
     if len(block) <= segment_bytes:
@@ -88,8 +88,8 @@ def records_of(
     out, starts = [], range(0, len(block), segment_bytes)
     for number, at in enumerate(starts, 1):
         if number > 1:
-            fields = [("WARC-Type", "continuation"), ("WARC-Record-ID", f"<urn:gleanworks:{rid}:{number}>"), ("WARC-Date", _DATE)]
-            fields.append(("WARC-Segment-Origin-ID", name))
+            fields = [("WARC-Type", "continuation"), ("WARC-Record-ID", f"<urn:gleanworks:{name}:{number}>"), ("WARC-Date", _DATE)]
+            fields.append(("WARC-Segment-Origin-ID", own))
         last = [("WARC-Segment-Total-Length", str(len(block)))] if number == len(starts) else []
         out.append(_record([*fields, ("WARC-Segment-Number", str(number)), *last], block[at : at + segment_bytes]))
     return out
@@ -131,25 +131,36 @@ def write_archives(
     Null payloads count as empty and null ids are left out of the record. Of equal payloads of at
     least ``revisit_bytes`` bytes the row with the largest id is the response (a null id is the
     smallest; among rows with the same id any one) and the others revisit it. Columns other than
-    the three named are not looked at.
+    the three named are not looked at. ``pages`` is read twice and must give the same rows each time.
     """
     body = F.coalesce(F.col(payload_col).cast("binary"), F.lit(b"").cast("binary"))
     uri = F.col(uri_col).cast("string") if uri_col in pages.columns else F.lit(None).cast("string")
     rows = pages.select(F.col(id_col).cast("long").alias("page"), uri.alias("uri"), body.alias("body"))
-    rows = materialise(rows.withColumn("rid", F.monotonically_increasing_id()).withColumn("digest", F.sha1("body")).withColumn("n", F.octet_length("body")), "pages")
-    large = rows.where(F.col("n") >= revisit_bytes).select("digest", "n", F.struct(F.col("page").isNotNull().alias("has"), "page", "rid").alias("who"))
-    first = large.groupBy("digest", "n").agg(F.max("who").alias("who"), F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
-    first = materialise(first.select("digest", "n", F.col("who.rid").alias("first_rid"), F.col("who.page").alias("first_page")), "first")
+    rows = rows.withColumn("rid", F.monotonically_increasing_id()).withColumn("digest", F.sha1("body")).withColumn("n", F.octet_length("body"))
+    large = lambda df: df.where(F.col("n") >= revisit_bytes).groupBy("digest", "n", "page")
+    who = F.struct(F.col("page").isNotNull().alias("has"), "page", "rows", "rid")
+
+    def firsts(by_page: DataFrame) -> DataFrame:
+        found = by_page.groupBy("digest", "n").agg(F.max(who).alias("who"), F.sum("rows").alias("copies")).where(F.col("copies") > 1)
+        return materialise(found.select("digest", "n", F.col("who.page").alias("first_page"), F.col("who.rows").alias("tops"), F.col("who.rid").alias("first_rid")), "first")
+
+    first = firsts(large(rows).agg(F.count(F.lit(1)).alias("rows"), F.lit(None).cast("long").alias("rid")))
+    if first.where(F.col("tops") > 1).head(1):  # repeated rows: the number that tells them apart must stay as it is
+        rows = materialise(rows, "pages")
+        first = firsts(large(rows).agg(F.count(F.lit(1)).alias("rows"), F.min("rid").alias("rid")))
     told = rows.join(first, ["digest", "n"], "left")
-    is_revisit = F.col("first_rid").isNotNull() & (F.col("first_rid") != F.col("rid"))
-    told = told.select("rid", "page", "uri", F.when(~is_revisit, F.col("body")).alias("body"), "digest", F.when(is_revisit, F.col("first_rid")).alias("first_rid"), "first_page")
+    is_first = F.col("page").eqNullSafe(F.col("first_page")) & ((F.col("tops") == 1) | (F.col("rid") == F.col("first_rid")))
+    again = F.col("tops").isNotNull() & ~is_first
+    place = lambda page: F.concat_ws("-", F.coalesce(page.cast("string"), F.lit("none")), "digest")
+    name = F.when(F.col("tops").isNotNull() & is_first, place(F.col("page"))).otherwise(F.concat_ws("-", place(F.col("page")), F.col("rid").cast("string")))
+    told = told.select(name.alias("name"), "page", "uri", F.when(~again, F.col("body")).alias("body"), "digest", F.when(again, place(F.col("first_page"))).alias("first"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
                 out: list[bytes] = []
-                for rid, page, link, payload, digest, to, to_page in zip(*(c.to_pylist() for c in batch.slice(k, 256).columns), strict=True):
-                    out += records_of(rid, page, link, payload or b"", digest, None if to is None else (to, to_page), segment_bytes, chunk_bytes)
+                for name, page, link, payload, digest, first in zip(*(c.to_pylist() for c in batch.slice(k, 256).columns), strict=True):
+                    out += records_of(name, page, link, payload or b"", digest, first, segment_bytes, chunk_bytes)
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
 
     records = told.mapInArrow(run, "record binary").select(F.col("record").cast("string").alias("value"))
@@ -221,18 +232,19 @@ def reassemble(records: DataFrame) -> DataFrame:
     return whole.mapInArrow(run, "origin string, type string, page long, uri string, digest string, refers string, segments int, payload binary, problem string")
 
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
+def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     """The archives' records put together again, revisits resolved.
 
     Columns: page_id, uri, record_type, payload (null for revisits), payload_bytes, payload_digest
     (of the payload as read, for revisits that of the record they refer to), refers_to, segments,
-    problem. An archive without records gives no rows.
+    problem. Without ``payloads`` they are measured and left out. An archive without records gives
+    no rows.
     """
-    whole = materialise(reassemble(read_records(spark, path)), "records")
-    sized = whole.withColumn("bytes", F.octet_length("payload").cast("long")).withColumn("sha", F.sha1("payload"))
+    whole = reassemble(read_records(spark, path)).withColumn("bytes", F.octet_length("payload").cast("long")).withColumn("sha", F.sha1("payload"))
+    sized = whole = materialise(whole if payloads else whole.withColumn("payload", F.lit(None).cast("binary")), "records")
     own = sized.where(F.col("type") != "revisit").select("page", "uri", "type", "payload", "bytes", "sha", F.lit(None).cast("long").alias("to"), "segments", "problem")
     target = sized.where(F.col("type") == "response").select(F.col("origin").alias("refers"), F.col("bytes").alias("bytes"), "sha", F.col("page").alias("to"), F.lit(True).alias("there"))
-    again = whole.where(F.col("type") == "revisit").join(target, "refers", "left")
+    again = whole.where(F.col("type") == "revisit").drop("bytes", "sha").join(target, "refers", "left")
     fault = F.when(F.col("there").isNull(), "the record referred to is missing").when(F.col("sha") != F.col("digest"), "the payload digest disagrees")
     again = again.select("page", "uri", "type", "payload", "bytes", "sha", "to", "segments", F.coalesce("problem", fault).alias("problem"))
     named = ["page_id", "uri", "record_type", "payload", "payload_bytes", "payload_digest", "refers_to", "segments", "problem"]
@@ -243,7 +255,7 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write all pages as WARC archives in the shared folder and read them back."""
     path = scratch_path(spark, "warc")
     write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), path)
-    return read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "segments", "problem")
+    return read_archives(spark, path, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "segments", "problem")
 
 
 OP1_SQL = """

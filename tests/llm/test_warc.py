@@ -56,7 +56,7 @@ def test_empty_table(spark):
     ("drop", "says"), [(1, "the origin record is missing"), (2, "segment numbers have a gap or a repeat"), (4, "the last segment is missing")]
 )
 def test_missing_segments_are_told(spark, drop, says):
-    parts = warc.records_of(1, 1, None, b"q" * 900, hashlib.sha1(b"q" * 900).hexdigest(), None, 300, 100)
+    parts = warc.records_of('1', 1, None, b"q" * 900, hashlib.sha1(b"q" * 900).hexdigest(), None, 300, 100)
     assert len(parts) == 4
     rows = []
     for head, block in warc.parse(b"\r\n\r\n".join(p for k, p in enumerate(parts, 1) if k != drop) + b"\r\n\r\n"):
@@ -68,7 +68,7 @@ def test_missing_segments_are_told(spark, drop, says):
 
 
 def test_wrong_length_and_digest_are_told(spark):
-    good = warc.records_of(1, 1, None, b"q" * 900, hashlib.sha1(b"other").hexdigest(), None, 10_000, 100)[0]
+    good = warc.records_of('1', 1, None, b"q" * 900, hashlib.sha1(b"other").hexdigest(), None, 10_000, 100)[0]
     head, block = next(warc.parse(good))
     cols = "type string, id string, origin string, number int, total long, page long, uri string, digest string, refers string, block binary"
     rows = [("response", "a", "a", None, None, 1, None, "0" * 40, None, block), ("response", "b", "b", 1, 5, 2, None, None, None, block), ("response", "c", "c", None, None, 3, None, None, None, block[:-30])]
