@@ -1,9 +1,329 @@
-"""Queries over the tables, and their SQL."""
+"""Queries over the tables, each through the library's operators, and their SQL."""
 
+from __future__ import annotations
 
-def queries():
-    return {}
+from collections.abc import Callable
 
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-def oracle_sql():
-    return {}
+from gleanworks.functions import html as H
+from gleanworks.functions import text as X
+from gleanworks.operators import dedup, enrich, graph, match
+
+Query = Callable[[SparkSession, str], DataFrame]
+_FOUND: dict[str, tuple[Query, str | None]] = {}
+
+
+def _query(sql: str | None = None):
+    def keep(f: Query) -> Query:
+        _FOUND[f.__name__] = (f, sql)
+        return f
+
+    return keep
+
+
+def queries() -> dict[str, Query]:
+    return {n: f for n, (f, _) in _FOUND.items()}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {n: s for n, (_, s) in _FOUND.items() if s}
+
+
+def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def _long(c: str) -> Column:
+    return F.col(c).cast("long").alias(c)
+
+
+# Aggregates
+
+
+@_query("""SELECT c_custkey, c_name, count(*) AS games, CAST(sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS BIGINT) AS wins
+FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderpriority = '1-URGENT' GROUP BY c_custkey, c_name""")
+def record_by_entity(spark, d):
+    o = _t(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"), F.when(F.col("o_orderstatus") == "F", "W").otherwise("L").alias("result"), F.col("o_orderpriority").alias("sport"))
+    c = _t(spark, d, "customer").select("c_custkey", "c_name")
+    return enrich.record_by_entity(o.join(c, "c_custkey"), "c_custkey", "c_name", "1-URGENT")
+
+
+@_query("""WITH k(kind) AS (VALUES ('view'), ('click'), ('none')), n AS (SELECT kind, count(e.event_type) AS n FROM k LEFT JOIN events e ON e.event_type = kind GROUP BY kind)
+SELECT kind, n, CAST(floor(sum(CASE WHEN kind <> 'none' THEN n ELSE 0 END) OVER () * 100 / greatest(sum(n) OVER (), 1)) AS BIGINT) AS matched_percent FROM n""")
+def kind_counts(spark, d):
+    return enrich.kind_counts(_t(spark, d, "events").select(F.col("event_type").alias("kind")), "kind", ["view", "click", "none"])
+
+
+@_query("""SELECT count(*) FILTER (trim(coalesce(nullif(c_mktsegment, 'BUILDING'), c_name)) <> trim(c_name)) AS scraped,
+count(*) FILTER (trim(coalesce(nullif(c_mktsegment, 'BUILDING'), c_name)) = trim(c_name)) AS fallback FROM customer""")
+def fallback_counts(spark, d):
+    c = _t(spark, d, "customer").select(F.col("c_name").alias("name"), F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_mktsegment")).otherwise(F.col("c_name")).alias("original_name"))
+    return enrich.fallback_counts(c)
+
+
+# Deduplication and upsert
+
+
+@_query("SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events) WHERE rn = 1")
+def upsert_last_write(spark, d):
+    return dedup.last_wins(_t(spark, d, "events").select("user_id", "event_id", "event_type"), ["user_id"], F.col("event_id"))
+
+
+@_query("""SELECT k, event_id FROM (SELECT nullif(user_id, 13) AS k, event_id, row_number() OVER (PARTITION BY nullif(user_id, 13) ORDER BY event_id DESC) AS rn FROM events)
+WHERE rn = 1 OR k IS NULL""")
+def upsert_null_keys_kept(spark, d):
+    e = _t(spark, d, "events").select(F.when(F.col("user_id") != 13, F.col("user_id")).alias("k"), "event_id")
+    return dedup.last_wins(e, ["k"], F.col("event_id"))
+
+
+@_query("SELECT user_id, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events) WHERE rn = 1")
+def emit_once_first(spark, d):
+    return dedup.first_wins(_t(spark, d, "events").select("user_id", "event_id"), ["user_id"], F.col("event_id"))
+
+
+@_query("""WITH s AS (SELECT user_id, event_id, dense_rank() OVER (ORDER BY event_type) AS slice_no FROM events),
+l AS (SELECT user_id, slice_no, max(event_id) AS event_id FROM s GROUP BY ALL)
+SELECT user_id, arg_min(event_id, slice_no) AS event_id, min(slice_no) AS slice_no FROM l GROUP BY user_id""")
+def slice_first_wins(spark, d):
+    e = _t(spark, d, "events")
+    kinds = sorted(r[0] for r in e.select("event_type").distinct().limit(1000).collect())  # slices are few
+    no = F.array_position(F.array(*[F.lit(k) for k in kinds]), F.col("event_type")).alias("slice_no")
+    return dedup.merge_slices(e.select("user_id", "event_id", no), "user_id", "slice_no", "event_id")
+
+
+@_query("""SELECT k, min(src) AS src FROM (SELECT s_nationkey AS k, CAST(0 AS BIGINT) AS src FROM supplier UNION ALL SELECT c_nationkey, 1 FROM customer
+UNION ALL SELECT n_nationkey, 2 FROM nation) GROUP BY k""")
+def union_sources(spark, d):
+    src = lambda t, c, n: _t(spark, d, t).select(F.col(c).alias("k"), F.lit(n).cast("long").alias("src"))
+    u = src("supplier", "s_nationkey", 0).unionByName(src("customer", "c_nationkey", 1)).unionByName(src("nation", "n_nationkey", 2))
+    return dedup.first_wins(u, ["k"], F.col("src"))
+
+
+@_query("SELECT DISTINCT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT' EXCEPT SELECT o_custkey FROM orders WHERE o_orderpriority = '5-LOW'")
+def changed_rows(spark, d):
+    o = _t(spark, d, "orders")
+    of = lambda p: o.where(F.col("o_orderpriority") == p).select("o_custkey").distinct()
+    return dedup.changed(of("5-LOW"), of("1-URGENT"))
+
+
+# Joins
+
+
+@_query("SELECT c_custkey, c_nationkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT')")
+def anti_unserved(spark, d):
+    o = _t(spark, d, "orders").where(F.col("o_orderpriority") == "1-URGENT")
+    return _t(spark, d, "customer").join(o, F.col("o_custkey") == F.col("c_custkey"), "left_anti").select("c_custkey", "c_nationkey")
+
+
+@_query("SELECT s_suppkey, s_nationkey FROM supplier WHERE s_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey = 1)")
+def scope_semi(spark, d):
+    n = _t(spark, d, "nation").where("n_regionkey = 1")
+    return _t(spark, d, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey"), "left_semi").select("s_suppkey", "s_nationkey")
+
+
+@_query("""WITH RECURSIVE e AS (SELECT DISTINCT a.l_suppkey AS src, b.l_suppkey AS dst FROM lineitem a JOIN lineitem b USING (l_orderkey)
+JOIN supplier ON s_suppkey = b.l_suppkey WHERE a.l_suppkey <> b.l_suppkey AND s_nationkey < 5),
+r AS (SELECT CAST(1 AS BIGINT) AS id UNION SELECT e.dst FROM r JOIN e ON e.src = r.id) SELECT id FROM r""")
+def graph_reach(spark, d):
+    l = _t(spark, d, "lineitem").select("l_orderkey", "l_suppkey").distinct()
+    inside = _t(spark, d, "supplier").where("s_nationkey < 5").select(F.col("s_suppkey").alias("dst"))
+    e = l.withColumnRenamed("l_suppkey", "src").join(l.withColumnRenamed("l_suppkey", "dst"), "l_orderkey").where("src <> dst")
+    e = e.select("src", "dst").distinct().join(inside, "dst", "left_semi").withColumn("via", F.lit("nearby"))
+    seeds = spark.createDataFrame([(1, "directory:x")], "id long, via string")
+    return graph.expand(seeds, e).select("id")
+
+
+def _parts(spark, d, parity):
+    p = _t(spark, d, "part").where(F.col("p_partkey") % 2 == parity)
+    return p.select(F.col("p_partkey").alias("key"), F.col("p_name").alias("name"), F.col("p_brand").alias("state"), F.col("p_type").alias("city"))
+
+
+_ROWS = "r AS (SELECT p_partkey AS key, p_name AS name, p_brand AS st, lower(trim(p_type)) AS city FROM part WHERE p_partkey % 2 = 1), c AS (SELECT p_partkey AS id, p_name AS name, p_brand AS st, lower(trim(p_type)) AS city FROM part WHERE p_partkey % 2 = 0)"
+
+
+def _ticket_rows(spark, d):
+    rows, cat = _parts(spark, d, 1), _parts(spark, d, 0)
+    return rows, cat.select(F.col("key").alias("pos"), F.col("key").alias("id"), "name", "state"), cat.select(F.col("key").alias("id"), "city", F.lit("").alias("zip_code"))
+
+
+@_query(f"""WITH {_ROWS} SELECT r.key, CAST(min(c.id) FILTER (left(r.city, 4) = left(c.city, 4)) AS VARCHAR) AS match_id FROM r LEFT JOIN c ON r.st = c.st AND r.name = c.name GROUP BY r.key""")
+def exact_blocked(spark, d):
+    m = match.match_tickets(*_ticket_rows(spark, d))
+    return m.select("key", F.when(F.col("match_kind") == "exact", F.col("match_id")).alias("match_id"))
+
+
+@_query(f"""WITH {_ROWS}, x AS (SELECT r.key, r.city, c.id, c.city AS cc, list_distinct(string_split(lower(r.name), ' ')) AS a, list_distinct(string_split(lower(c.name || ' annex'), ' ')) AS b
+  FROM r JOIN c ON r.st = c.st),
+s AS (SELECT key, id, row_number() OVER (PARTITION BY key ORDER BY abs(len(a) - len(b)), id) AS rn FROM x WHERE (list_has_all(a, b) OR list_has_all(b, a)) AND left(city, 4) = left(cc, 4))
+SELECT key, CAST(id AS VARCHAR) AS match_id FROM s WHERE rn = 1""")
+def subset_blocked(spark, d):
+    rows, cat, detail = _ticket_rows(spark, d)
+    cat = cat.withColumn("name", F.concat("name", F.lit(" annex")))
+    m = match.match_tickets(rows, cat, detail, cutoff=1.0)  # a cut-off of 1 leaves the fuzzy tier empty
+    return m.where("match_kind = 'fuzzy'").select("key", "match_id")
+
+
+@_query(None)
+def fuzzy_match(spark, d):
+    return match.match_tickets(*_ticket_rows(spark, d)).select("key", "match_id", "match_kind")
+
+
+@_query(f"""WITH {_ROWS}, e AS (SELECT r.key, count(*) AS n, min(c.id) AS first, min(c.id) FILTER (left(r.city, 4) = left(c.city, 4)) AS ok FROM r JOIN c ON r.st = c.st AND r.name = c.name GROUP BY r.key)
+SELECT key, CAST(CASE WHEN n = 1 THEN first ELSE coalesce(ok, first) END AS VARCHAR) AS match_id FROM e""")
+def network_exact(spark, d):
+    cat = _parts(spark, d, 0).select(F.col("key").alias("pos"), F.col("key").cast("string").alias("slug"), "name", "city", F.col("state").alias("state_code"), F.lit(None).cast("string").alias("gofan_id"))
+    return match.match_network(_parts(spark, d, 1), cat).where("match_kind = 'exact'").select("key", "match_id")
+
+
+@_query("""WITH c AS (SELECT p_partkey // 4 AS gid, min(p_partkey) AS slug FROM part WHERE p_partkey % 2 = 0 GROUP BY 1)
+SELECT p_partkey AS key, CAST(slug AS VARCHAR) AS match_id FROM part JOIN c ON gid = p_partkey WHERE p_partkey % 2 = 1""")
+def key_join_first(spark, d):
+    cat = _parts(spark, d, 0).select(F.col("key").alias("pos"), F.col("key").cast("string").alias("slug"), F.lit("").alias("name"), "city", F.lit("").alias("state_code"), F.floor(F.col("key") / 4).cast("string").alias("gofan_id"))
+    rows = _parts(spark, d, 1).withColumn("gofan_school_id", F.concat(F.lit(" "), F.col("key").cast("string")))
+    return match.match_network(rows, cat).where("match_kind = 'gofan_id'").select("key", "match_id")
+
+
+@_query(f"""WITH {_ROWS}, o AS (SELECT r.key, CASE WHEN r.key % 3 = 0 THEN 'no such thing' ELSE r.name END AS own, r.* EXCLUDE (key) FROM r),
+m AS (SELECT o.key, min(c.id) FILTER (left(o.city, 4) = left(c.city, 4)) AS id FROM o JOIN c ON c.st = o.st AND c.name = o.name GROUP BY o.key)
+SELECT key, CAST(id AS VARCHAR) AS match_id, CASE WHEN key % 3 = 0 THEN 'name' ELSE 'original' END AS match_source FROM m WHERE id IS NOT NULL""")
+def two_attempt_match(spark, d):
+    rows, cat, detail = _ticket_rows(spark, d)
+    rows = rows.withColumn("original_name", F.when(F.col("key") % 3 == 0, "no such thing").otherwise(F.col("name")))
+    return match.match_twice(rows, cat, detail).where("match_kind = 'exact'").select("key", "match_id", "match_source")
+
+
+# Scalar functions
+
+
+@_query(r"""SELECT p_partkey, trim(regexp_replace(regexp_replace(regexp_replace(lower(p_name), '[^a-z0-9 ]', ' ', 'g'), '\b(widget|plate)\b', ' ', 'g'), '\s+', ' ', 'g')) AS norm FROM part""")
+def normalize_names(spark, d):
+    return _t(spark, d, "part").select("p_partkey", X.normalize_name(F.col("p_name"), r"\b(widget|plate)\b").alias("norm"))
+
+
+_INFO = "'W ' || CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || ' - ' || CAST(l_linenumber AS VARCHAR)"
+
+
+@_query(rf"""SELECT l_orderkey, l_linenumber, regexp_extract({_INFO}, '^\s*([WLT])\b', 1) AS result,
+replace(regexp_extract({_INFO}, '\b(\d{{1,3}}\s*-\s*\d{{1,3}})\b', 1), ' ', '') AS score FROM lineitem""")
+def parse_result_score(spark, d):
+    info = F.concat(F.lit("W "), F.col("l_quantity").cast("long").cast("string"), F.lit(" - "), F.col("l_linenumber").cast("string"))
+    return _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", X.result_of(info).alias("result"), X.score_of(info).alias("score"))
+
+
+_OPP = "CASE o_orderkey % 3 WHEN 0 THEN '@' WHEN 1 THEN 'vs ' ELSE '' END || o_orderpriority || CASE WHEN o_orderkey % 2 = 0 THEN '**' ELSE '' END"
+
+
+@_query(rf"""SELECT o_orderkey, CASE WHEN starts_with({_OPP}, '@') THEN 'away' ELSE 'home' END AS home_away,
+trim(regexp_replace(regexp_replace(trim(regexp_replace({_OPP}, '^@+', '')), '^(?i)vs ', ''), '\*+$', '')) AS opponent FROM orders""")
+def opponent_clean(spark, d):
+    k = F.col("o_orderkey") % 3
+    raw = F.concat(F.when(k == 0, "@").when(k == 1, "vs ").otherwise(""), "o_orderpriority", F.when(F.col("o_orderkey") % 2 == 0, "**").otherwise(""))
+    return _t(spark, d, "orders").select("o_orderkey", X.home_away(raw).alias("home_away"), X.clean_opponent(raw).alias("opponent"))
+
+
+@_query("SELECT o_orderkey, trim(CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority ELSE '' END || ' ' || CAST(year(o_orderdate) AS VARCHAR)) AS season FROM orders")
+def season_label(spark, d):
+    return _t(spark, d, "orders").select("o_orderkey", X.season_label(F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderpriority")), F.year("o_orderdate").cast("string")).alias("season"))
+
+
+@_query("""SELECT page_id, regexp_replace(url, '/+$', '') || CASE WHEN regexp_replace(url, '/+$', '') LIKE '%/schedule' THEN '/' ELSE '/schedule/' END AS schedule_url FROM pages""")
+def schedule_url(spark, d):
+    return _t(spark, d, "pages").select("page_id", X.schedule_url(F.col("url")).alias("schedule_url"))
+
+
+@_query("""WITH p AS (SELECT page_id, string_split(regexp_replace(url, '^/+|/+$', '', 'g'), '/') AS s FROM pages)
+SELECT page_id, CAST(len(s) AS BIGINT) AS depth, s[1] AS head, CASE WHEN len(s) >= 3 THEN '/' || array_to_string(s[1:3], '/') || '/' END AS root FROM p""")
+def path_root(spark, d):
+    parts = X.path_parts(F.col("url"), "\x00")
+    return _t(spark, d, "pages").select("page_id", F.size(parts).cast("long").alias("depth"), parts[0].alias("head"), F.regexp_replace(X.school_root(F.col("url"), "\x00"), "^\x00", "").alias("root"))
+
+
+@_query("""SELECT o_custkey, string_agg(DISTINCT o_orderpriority || ' (' || o_orderstatus || ')', '; ' ORDER BY o_orderpriority || ' (' || o_orderstatus || ')') AS sports,
+count(DISTINCT o_orderpriority || o_orderstatus) AS sports_count FROM orders GROUP BY o_custkey""")
+def distinct_labels(spark, d):
+    s = F.collect_set(F.struct(F.col("o_orderpriority").alias("sport"), F.col("o_orderstatus").alias("gender")))
+    labels = _t(spark, d, "orders").groupBy("o_custkey").agg(s.alias("s")).select("o_custkey", X.sport_labels(F.col("s")).alias("sports"))
+    return labels.select("o_custkey", X.joined(F.col("sports")).alias("sports"), F.size("sports").cast("long").alias("sports_count"))
+
+
+@_query("SELECT o_custkey, bool_or(lower(trim(split_part(o_orderpriority || ' (x)', ' (', 1))) = '1-urgent') AS offered FROM orders GROUP BY o_custkey")
+def school_offers(spark, d):
+    s = _t(spark, d, "orders").groupBy("o_custkey").agg(F.collect_set(F.concat("o_orderpriority", F.lit(" (x)"))).alias("s"))
+    return s.select("o_custkey", X.offers(F.col("s"), ["1-URGENT "]).alias("offered"))
+
+
+@_query("SELECT c_custkey, coalesce(nullif(CASE WHEN c_custkey % 3 = 0 THEN '' WHEN c_custkey % 3 = 1 THEN NULL ELSE c_name END, ''), c_mktsegment) AS first FROM customer")
+def truthy_or(spark, d):
+    k = F.col("c_custkey") % 3
+    return _t(spark, d, "customer").select("c_custkey", X.first_truthy(F.when(k == 0, "").when(k == 2, F.col("c_name")), F.col("c_mktsegment")).alias("first"))
+
+
+@_query("SELECT doc_id, regexp_matches(lower(text), 'error|slot|casino|poker|judi|not found|forbidden') AS junk FROM (SELECT doc_id, 'page ' || source || CASE doc_id % 3 WHEN 0 THEN ' Terrorer' WHEN 1 THEN ' Slots here' ELSE ' fine' END AS text FROM documents)")
+def junk_filter(spark, d):
+    k = F.col("doc_id") % 3
+    t = F.concat(F.lit("page "), "source", F.when(k == 0, " Terrorer").when(k == 1, " Slots here").otherwise(" fine"))
+    return _t(spark, d, "documents").select("doc_id", X.is_junk(t).alias("junk"))
+
+
+@_query("""SELECT a.c_custkey AS a, b.c_custkey AS b, CASE WHEN a.c_custkey % 5 = 0 OR b.c_custkey % 7 = 0 THEN true ELSE left(a.c_mktsegment, 4) = left(b.c_mktsegment, 4) END AS agrees
+FROM customer a JOIN customer b ON b.c_custkey = a.c_custkey + 1""")
+def agree_matrix(spark, d):
+    c = _t(spark, d, "customer")
+    a = c.select(F.col("c_custkey").alias("a"), F.when(F.col("c_custkey") % 5 != 0, F.col("c_mktsegment")).alias("ca"))
+    b = c.select(F.col("c_custkey").alias("b"), (F.col("c_custkey") - 1).alias("a"), F.when(F.col("c_custkey") % 7 != 0, F.upper("c_mktsegment")).alias("cb"))
+    no = F.lit("")
+    return a.join(b, "a").select("a", "b", X.agrees(F.col("cb"), no, F.col("ca"), no, F.lit(False)).alias("agrees"))
+
+
+@_query("SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN trim(c_name) ELSE c_mktsegment END AS original_name FROM customer")
+def fallback_name(spark, d):
+    c = _t(spark, d, "customer")
+    return c.select("c_custkey", X.first_truthy(F.when(F.col("c_custkey") % 4 != 0, F.col("c_mktsegment")), X.strip(F.col("c_name"))).alias("original_name"))
+
+
+@_query("SELECT c_custkey, c_mktsegment || '!' AS c_name FROM customer")
+def column_append_idempotent(spark, d):
+    cols = {"c_name": F.concat("c_mktsegment", F.lit("!"))}
+    return enrich.append(enrich.append(_t(spark, d, "customer"), cols), cols).select("c_custkey", "c_name")
+
+
+# Pages
+
+
+@_query(r"SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, regexp_extract(html, '<h1[^>]*>([^<]*)', 1) AS h1 FROM (SELECT page_id, replace(replace(html, '&amp;', '+'), '&', '+') AS html FROM pages)")
+def page_title_h1(spark, d):
+    t = _t(spark, d, "pages").select("page_id", H.titles(F.replace(F.replace("html", F.lit("&amp;"), F.lit("+")), F.lit("&"), F.lit("+"))).alias("t"))
+    return t.select("page_id", X.nz(F.col("t.title")).alias("title"), X.nz(F.col("t.h1")).alias("h1"))
+
+
+@_query(r"SELECT page_id, regexp_extract(html, '(?s)<script[^>]*>(.*?)</script>', 1) AS script FROM pages")
+def embedded_script(spark, d):
+    return _t(spark, d, "pages").select("page_id", F.regexp_extract("html", r"(?s)<script[^>]*>(.*?)</script>", 1).alias("script"))
+
+
+@_query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
+def json_field(spark, d):
+    return _t(spark, d, "events").select("event_id", F.from_json("props", "k string")["k"].cast("long").alias("k"))
+
+
+@_query(r"""WITH l AS (SELECT page_id, regexp_extract_all(html, 'href="([^"]*)"', 1) AS a FROM pages)
+SELECT page_id, i - 1 AS pos, a[i] AS href FROM l, unnest(range(1, len(a) + 1)) AS r(i)""")
+def page_links_posexplode(spark, d):
+    return _t(spark, d, "pages").select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1)))).select("page_id", _long("pos"), F.col("col").alias("href"))
+
+
+@_query(r"""WITH t AS (SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS t FROM pages),
+s AS (SELECT page_id, trim(x) AS x, i FROM (SELECT page_id, unnest(regexp_split_to_array(t, '\s*[|:]\s*')) AS x, generate_subscripts(regexp_split_to_array(t, '\s*[|:]\s*'), 1) AS i FROM t))
+SELECT page_id, x AS name FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY length(x) DESC, i) AS rn FROM s) WHERE rn = 1""")
+def title_longest_segment(spark, d):
+    t = F.regexp_extract("html", "<title>([^<]*)</title>", 1)
+    parts = F.transform(F.split(t, r"\s*[|:]\s*", -1), X.strip)
+    longest = F.aggregate(parts, F.lit(""), lambda a, x: F.when(F.length(x) > F.length(a), x).otherwise(a))
+    return _t(spark, d, "pages").select("page_id", longest.alias("name"))
+
+
+@_query("SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n FROM events GROUP BY ALL")
+def event_tumbling(spark, d):
+    return _t(spark, d, "events").groupBy(F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz").alias("start"), "event_type").agg(F.count(F.lit(1)).alias("n"))
