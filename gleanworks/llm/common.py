@@ -48,6 +48,16 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Up to so many numbers (about 45 MB as a hash table) one side of a semi-join is broadcast; beyond, both are shuffled.
+BROADCAST_IDS = 500_000
+
+
+def having(df: DataFrame, ids: DataFrame, on: str) -> DataFrame:
+    """The rows of ``df`` whose number ``on`` is in ``ids``, a written table of distinct numbers."""
+    few = ids.count() <= BROADCAST_IDS
+    return df.join(F.broadcast(ids.select(on)) if few else ids.select(on).hint("merge"), on, "left_semi")
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """``wanted``, made longer until no column of ``df`` has it in either case."""
     taken = {c.lower() for c in df.columns}

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanworks.llm.common import connected_components, free_name, materialise
+from gleanworks.llm.common import connected_components, materialise
 
 SHINGLE_WORDS = 3
 RADIUS = 3
@@ -228,24 +228,6 @@ def simhash_components(
     return _components(docs, id_col, text_col, words, radius, shard_rows).drop("label")
 
 
-def near_duplicate_survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` with one document of each component: that of the smallest id.
-
-    Rows that share an id are one document, of which one row stays. Of a component in which no
-    document has an id, one row stays. Columns are those of ``docs``, whatever their names.
-    """
-    mine, row = free_name(docs, "mine_"), free_name(docs, "row_")
-    found = materialise(_components(docs, id_col, text_col, words, radius, SHARD_ROWS), "found")
-    stay = found.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias(mine)).distinct()
-    kept = docs.join(stay, F.col(id_col) == F.col(mine)).drop(mine).dropDuplicates([id_col])
-    nameless = found.where(F.col("component_id").isNull()).select("fp", "label").distinct()
-    if not nameless.head(1):
-        return kept
-    blank = materialise(docs.where(F.col(id_col).isNull()).withColumn(row, F.monotonically_increasing_id()), "nameless")
-    one = fingerprints(blank, row, text_col, words).join(nameless, "fp").groupBy("label").agg(F.min(row).alias(row))
-    return kept.unionByName(blank.join(one.select(row), row, "left_semi").drop(row))
-
-
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints and components of all documents."""
     found = simhash_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))

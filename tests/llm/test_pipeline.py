@@ -6,10 +6,10 @@ import re
 from collections import Counter
 
 import corpus_pipeline
-from gleanworks.llm import packing, quality, secrets, simhash
+from gleanworks.llm import packing, quality, secrets
 from gleanworks.llm.common import scratch_path
 from tests.llm.test_secrets import brute_base
-from tests.llm.test_simhash import brute_components, brute_fingerprint
+from tests.llm.test_similar import brute_survivors
 
 
 def test_stages(spark):
@@ -24,8 +24,8 @@ def test_stages(spark):
     rows = [h.collect() for h in held]
     model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet").where(quality.learnable()))
     assert {r.doc_id for r in rows[1]} == {r.doc_id for r in rows[0] if model.score(r.text.encode()) >= 0.7}
-    prints = [(r.doc_id, brute_fingerprint(r.text, 5)) for r in rows[1]]
-    assert sorted(r.doc_id for r in rows[2]) == sorted(set(brute_components(prints)))
+    near = [(r.doc_id, r.text) for r in rows[1]]
+    assert sorted(r.doc_id for r in rows[2]) == brute_survivors(near)
     clean = {r.doc_id: r for r in rows[3]}
     for r in rows[2]:
         assert not brute_base(clean[r.doc_id].text.replace(secrets.MARK, "\x01")) and clean[r.doc_id].n_chars == len(clean[r.doc_id].text)
@@ -43,7 +43,7 @@ def test_stages(spark):
     bins = Counter()
     for r in rows[5]:
         bins[r.bin_id] += r.length
-    assert max(bins.values()) <= packing.CAPACITY and simhash.RADIUS == 3
+    assert max(bins.values()) <= packing.CAPACITY
 
 
 def test_run_on_the_smallest_tables(spark, sf_dir):

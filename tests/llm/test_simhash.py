@@ -115,18 +115,6 @@ def test_components_against_brute_force(spark):
     assert got == want
 
 
-def test_survivors(spark):
-    rows = rows_with_edges()
-    df = spark.createDataFrame([(i, t, "s") for i, t in rows], "doc_id long, text string, mine_ string")
-    kept = simhash.near_duplicate_survivors(df)
-    assert kept.columns == df.columns
-    prints = [(i, brute_fingerprint(t)) for i, t in rows]
-    comps = brute_components(prints)
-    want = sorted({c for c in comps if c is not None})
-    got = [r.doc_id for r in kept.collect()]
-    assert sorted(x for x in got if x is not None) == want and got.count(None) == 1
-
-
 def test_empty_table(spark):
     assert simhash.simhash_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
