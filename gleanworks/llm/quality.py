@@ -3,7 +3,9 @@
 One zstandard dictionary is trained from good and one from bad labelled text. A text is compressed
 with each, block by block so that the dictionaries matter throughout, over its whole length. The
 difference of the two sizes over the text's length, with a small prior for short texts, is turned
-into a probability by a logistic curve fitted on other labelled rows. The dictionaries are the only
+into a probability by a logistic curve fitted on other labelled rows and set to the classes' shares
+of all labelled rows. Dictionaries are trained from distinct texts, so that groups of copies in the
+sample don't crowd out others. The dictionaries are the only
 model: labels, language, source and id are never inputs of a score.
 """
 
@@ -17,7 +19,9 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BLOCK_BYTES = 1024
+from gleanworks.llm.common import small_batches
+
+BLOCK_BYTES = 512
 DICT_BYTES = 64 * 1024
 LEVEL = 3
 THRESHOLD = 0.7
@@ -113,7 +117,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
     """
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(id_col).agg(F.min(label_col).alias(label_col))
     get = lambda part, label: sample(docs, known, label_col, id_col, text_col, part, label, sample_docs, sample_bytes)
-    good, bad = get(0, 1), get(0, 0)
+    good, bad = (list(dict.fromkeys(get(0, label))) for label in (1, 0))
     model = Model(_dictionary(good), _dictionary(bad))
     held_good, held_bad = get(1, 1) or good, get(1, 0) or bad
     if not held_good or not held_bad:
@@ -122,6 +126,9 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
     x = np.array([model.difference(t) for t in held_good + held_bad])
     y = np.array([1] * len(held_good) + [0] * len(held_bad))
     model.weight, model.intercept = _logistic(x, y)
+    shares = {r[label_col]: r["count"] for r in known.groupBy(label_col).count().collect()}  # a row for each label
+    odds = (shares.get(1, 0) + 1) / (shares.get(0, 0) + 1)
+    model.intercept += float(np.log(odds * len(held_bad) / len(held_good)))
     return model
 
 
@@ -129,6 +136,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
     """``docs`` with ``score_col``; null and empty texts get the score of an empty text. Rows keep their order."""
     from pyspark.sql.functions import pandas_udf
 
+    small_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     @pandas_udf("double")
