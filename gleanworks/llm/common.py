@@ -48,6 +48,17 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of one Arrow batch that holds whole texts; Spark's default is 10,000.
+TEXT_BATCH_ROWS = 2000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the texts that a Python worker holds at once, for the rest of the session."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key, "10000")) <= TEXT_BATCH_ROWS:
+        spark.conf.set(key, str(TEXT_BATCH_ROWS))
+
+
 #: Up to so many numbers (about 45 MB as a hash table) one side of a semi-join is broadcast; beyond, both are shuffled.
 BROADCAST_IDS = 500_000
 

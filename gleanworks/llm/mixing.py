@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanworks.llm.common import free_name, materialise, matrix
+from gleanworks.llm.common import free_name, materialise, matrix, small_batches
 
 SAMPLE_DOCS = 2000
 SAMPLE_BYTES = 12 << 20
@@ -121,6 +121,7 @@ def learn_domains(docs: DataFrame, labels: DataFrame, domain: Column, names: lis
 
 def with_posterior(docs: DataFrame, model: Domains, text_col: str, tokens: str, posterior: str) -> DataFrame:
     """``docs`` with its number of words and its posterior; no words: the posterior of no evidence."""
+    small_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("struct<n:long,p:array<double>>")

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanworks.llm.common import connected_components, materialise
+from gleanworks.llm.common import connected_components, materialise, small_batches
 
 SHINGLE_WORDS = 3
 RADIUS = 3
@@ -72,6 +72,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             bits = [_signed(fingerprint(t.as_py(), words)) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(bits, pa.int64())], ["id", "fp"])
 
+    small_batches(docs.sparkSession)
     pair = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("body"))
     return pair.mapInArrow(run, "id long, fp long").withColumnRenamed("id", id_col)
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanworks.llm.common import materialise, scratch_path
+from gleanworks.llm.common import materialise, scratch_path, small_batches
 
 SEGMENT_BYTES = 16 * 1024
 CHUNK_BYTES = 4096
@@ -133,6 +133,7 @@ def write_archives(
     smallest; among rows with the same id any one) and the others revisit it. Columns other than
     the three named are not looked at. ``pages`` is read twice and must give the same rows each time.
     """
+    small_batches(pages.sparkSession)
     body = F.coalesce(F.col(payload_col).cast("binary"), F.lit(b"").cast("binary"))
     uri = F.col(uri_col).cast("string") if uri_col in pages.columns else F.lit(None).cast("string")
     rows = pages.select(F.col(id_col).cast("long").alias("page"), uri.alias("uri"), body.alias("body"))
