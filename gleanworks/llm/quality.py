@@ -49,6 +49,11 @@ class Model:
             _CODERS[key] = tuple(coders)
         return _CODERS[key]
 
+    @property
+    def informed(self) -> bool:
+        """Whether rows of both classes were learned from; if not, every score is 0.5."""
+        return self.weight != 0 or self.intercept != 0
+
     def difference(self, text: bytes) -> float:
         """Bytes that the good dictionary saves over the bad one, by byte of text."""
         by_good, by_bad = self._coders()

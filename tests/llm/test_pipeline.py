@@ -48,3 +48,10 @@ def test_stages(spark):
 
 def test_run_on_the_smallest_tables(spark, sf_dir):
     assert corpus_pipeline.run(spark, sf_dir).count() > 0
+
+
+def test_quality_stage_needs_both_classes(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "good text"), (2, None)], "doc_id long, text string")
+    for name, rows in (("none", []), ("one", [(k, 1, 0) for k in range(1, 9)])):
+        spark.createDataFrame(rows, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        assert corpus_pipeline.quality_stage(spark, docs, f"{tmp_path}/{name}").count() == 2
