@@ -8,11 +8,17 @@ logarithm of the number of documents, so shards stay small, and the number of li
 (a power of about 0.24) with it.
 
 Each shard is a BK-tree over 128 of the bits, searched within a radius of three standard
-deviations beyond the expected distance: for each fingerprint the two nearest earlier ones. One
-that is all but equal to an earlier one is not put in the tree, so groups of copies stay small.
-What the trees find are candidates; links are those whose exact similarity of shingle sets is high
-enough. Candidates are checked from the nearest on, and no longer once both ends are in one
-component, so work follows the number of documents with near copies, not of pairs.
+deviations beyond the expected distance. What the trees find are candidates; links are those whose
+exact similarity of shingle sets is high enough. Candidates are checked from the nearest on, and no
+longer once both ends are in one component.
+
+There are two searches. The first takes the two nearest earlier fingerprints, and one that is all
+but equal to an earlier one is not put in the tree; it joins large groups of copies without their
+pairs. Shards in which that may have left a hit out are searched again: there, all hits within the
+radius are candidates but those whose ends the first search has joined. So every pair that some
+shard holds within the radius is either checked exactly or already in one component. Work follows
+the number of documents with near copies; only groups that are near each other without linking
+cost their pairs.
 """
 
 from __future__ import annotations
@@ -34,6 +40,7 @@ SIMILARITY = 0.8
 RECALL = 0.997
 _NEAREST = 2
 _CERTAIN = 8  # of 128 bits
+_PAIRS = 20_000  # candidates of one Arrow batch
 _MIX = (1, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 _FP = ["f0", "f1", "f2", "f3"]
 _SKETCH = 128
@@ -120,6 +127,20 @@ class NearestTree:
                 open_ += [kid for at, kid in kids.items() if low <= at <= high]
         return found
 
+    def within(self, value: int, radius: int) -> list[int]:
+        """All held ids at a distance of ``radius`` or less."""
+        found: list[int] = []
+        open_ = [self.root] if self.root else []
+        while open_:
+            node, name, kids = open_.pop()
+            d = (node ^ value).bit_count()
+            if d <= radius:
+                found.append(name)
+            if kids:
+                low, high = d - radius, d + radius
+                open_ += [kid for at, kid in kids.items() if low <= at <= high]
+        return found
+
 
 def _shards(lists: list[np.ndarray]):
     masks = np.zeros((len(lists), 4), np.uint64)
@@ -146,8 +167,10 @@ def _shards(lists: list[np.ndarray]):
 
 
 def _search(radius: int):
+    """Candidates ``a, b``; rows without ``a`` name in ``b`` the shards that may hold more of them."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, last, out = NearestTree(), None, []
+        tree, last, out, cut = NearestTree(), None, [], None
         held: tuple | None = None  # a shard's first row, put in a tree once there is a second
         for batch in batches:
             for shard, gid, f0, f1 in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -159,16 +182,50 @@ def _search(radius: int):
                     tree.add(*held)
                     held = None
                 near = tree.nearest(value, radius, _NEAREST, _CERTAIN)
-                out += [(gid, other, d) for d, other in near]
-                if not near or near[0][0] > _CERTAIN:
+                out += [(gid, other) for _, other in near]
+                sure = bool(near) and near[0][0] <= _CERTAIN
+                if not sure:
                     tree.add(value, gid)
+                if (sure or len(near) == _NEAREST) and cut != shard:
+                    out.append((None, shard))
+                    cut = shard
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["a", "b", "d"])
+                yield _pairs(out)
                 out = []
 
     return run
 
 
+def _pairs(out: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["a", "b"])
+
+
+def _search_apart(radius: int):
+    """All candidates ``a, b`` within ``radius`` whose labels differ, of rows sorted by shard and label."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree, last, mark, out = NearestTree(), None, None, []
+        held: list[tuple] = []  # rows of the label at hand, put in the tree once there is another
+        for batch in batches:
+            for shard, label, gid, f0, f1 in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                value = (f0 & _U64) << 64 | f1 & _U64
+                if shard != last:
+                    tree, last, mark, held = NearestTree(), shard, label, []
+                elif label != mark:
+                    for row in held:
+                        tree.add(*row)
+                    mark, held = label, []
+                held.append((value, gid))
+                out += [(gid, other) for other in tree.within(value, radius)]
+                if len(out) >= _PAIRS:
+                    yield _pairs(out)
+                    out = []
+        if out:
+            yield _pairs(out)
+
+    return run
+
+
 def short_hashes(hashes: np.ndarray) -> np.ndarray:
     """Sorted distinct 32-bit forms of shingle hashes, for sets that are moved."""
     return np.unique((hashes >> np.uint64(32)).astype(np.uint32))
@@ -196,9 +253,11 @@ def _estimated(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     return both.select("a", "b", "ak", "bk").mapInArrow(run, "a long, b long, j double")
 
 
-def _verified(rows: DataFrame, cand: DataFrame, sketches: DataFrame, words: int, similarity: float) -> DataFrame:
-    """Of the candidate pairs at ``similarity`` or more those that it takes to connect them all."""
-    pairs = materialise(cand.select("a", "b").distinct(), "pairs")
+def _verified(rows: DataFrame, pairs: DataFrame, sketches: DataFrame, words: int, similarity: float, links: DataFrame | None = None, labels: DataFrame | None = None) -> tuple[DataFrame | None, DataFrame | None]:
+    """(links, labels): of the distinct ``pairs`` at ``similarity`` or more those that it takes to connect them all.
+
+    Links and labels of an earlier call are added to.
+    """
     low = similarity - 4.5 * math.sqrt(similarity * (1 - similarity) / _SKETCH)
     cand = materialise(_estimated(pairs, sketches).where(F.col("j") >= low), "candidates")
     ends = materialise(cand.select(F.col("a").alias("rid")).union(cand.select("b")).distinct(), "ends")
@@ -209,7 +268,6 @@ def _verified(rows: DataFrame, cand: DataFrame, sketches: DataFrame, words: int,
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32()))], ["gid", "s"])
 
     sets = materialise(having(rows.select("rid", "body"), ends, "rid").mapInArrow(sets_of, "gid long, s array<int>"), "shingle-sets")
-    links, labels = None, None
     most = 1
     while True:
         still = cand
@@ -217,7 +275,7 @@ def _verified(rows: DataFrame, cand: DataFrame, sketches: DataFrame, words: int,
             of = lambda end: labels.select(F.col("node").alias(end), F.col("label").alias(f"{end}_"))  # noqa: E731, B023
             still = cand.join(of("a"), "a", "left").join(of("b"), "b", "left")
             still = still.where(F.coalesce("a_", "a") != F.coalesce("b_", "b")).select("a", "b", "j")
-        place = F.row_number().over(Window.partitionBy("a").orderBy(F.col("j").desc(), "b"))  # a row has a few candidates from each list
+        place = F.row_number().over(Window.partitionBy("a").orderBy(F.col("j").desc(), "b"))
         still = materialise(still.withColumn("place", place), "open")
         if not still.head(1):
             break
@@ -230,7 +288,7 @@ def _verified(rows: DataFrame, cand: DataFrame, sketches: DataFrame, words: int,
         links = materialise(good if links is None else links.unionAll(good), "links")
         labels = connected_components(links)
         most *= 8
-    return links if links is not None else rows.sparkSession.createDataFrame([], "a long, b long")
+    return links, labels
 
 
 def near_duplicate_survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
@@ -263,9 +321,22 @@ def near_duplicate_survivors(docs: DataFrame, id_col: str = "doc_id", text_col:
     share = bit_share(similarity)
     radius = math.ceil(128 * share + 3 * math.sqrt(128 * share * (1 - share)))
     sharded = distinct.select("gid", *_FP).mapInArrow(_shards(lists_for(n, similarity)), "shard long, gid long, f0 long, f1 long")
-    found = sharded.repartition("shard").sortWithinPartitions("shard", "gid").mapInArrow(_search(radius), "a long, b long, d long")
+    found = sharded.repartition("shard").sortWithinPartitions("shard", "gid").mapInArrow(_search(radius), "a long, b long")
+    found = materialise(found.distinct(), "found")
     sketches = marked.select(F.col("rid").alias("gid"), "sketch")
-    labels = connected_components(_verified(rows, found, sketches, words, similarity))
+    links, labels = _verified(rows, found.where(F.col("a").isNotNull()), sketches, words, similarity)
+    cut = materialise(found.where(F.col("a").isNull()).select(F.col("b").alias("shard")), "cut-shards")
+    if cut.head(1):
+        more = having(sharded, cut, "shard")
+        if labels is None:
+            more = more.withColumn("label", F.col("gid"))
+        else:
+            more = more.join(labels.select(F.col("node").alias("gid"), "label"), "gid", "left").withColumn("label", F.coalesce("label", "gid"))
+        more = more.select("shard", "label", "gid", "f0", "f1").repartition("shard").sortWithinPartitions("shard", "label", "gid")
+        apart = materialise(more.mapInArrow(_search_apart(radius), "a long, b long").distinct(), "apart")
+        links, labels = _verified(rows, apart, sketches, words, similarity, links, labels)
+    if labels is None:
+        labels = rows.sparkSession.createDataFrame([], "node long, label long")
     of = distinct.select("gid", "who").join(labels.select(F.col("node").alias("gid"), "label"), "gid", "left")
     stay = of.groupBy(F.coalesce("label", "gid").alias("label")).agg(F.min("who").alias("who"))
     stay = materialise(stay.select(F.col("who.rid").alias(rid)), "stay")

@@ -70,6 +70,24 @@ def test_groups_against_brute_force(spark):
     assert len(got - want) <= 0.02 * len(rows) and not want - got
 
 
+def test_copies_that_link_only_to_their_original(spark):
+    r = random.Random(11)
+    base = " ".join(f"w{k}" for k in range(204))
+    copies = []
+    for _ in range(500):
+        found = base.split()
+        for k in r.sample(range(4, 200, 5), 4):
+            found[k] = f"new{r.random()}"
+        copies.append(" ".join(found))
+    rows = list(enumerate([base, *copies]))
+    a, b = shingles(copies[0]), shingles(copies[1])
+    assert len(a & b) < 0.8 * len(a | b) and brute_survivors(rows) == [0]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = similar.near_duplicate_survivors(df).count()
+    print("survivors", got)
+    assert got <= 1 + 0.01 * len(rows)
+
+
 def test_repeated_rows_and_null_ids(spark):
     text = "the same words again and again in this one"
     rows = [(5, text), (5, text), (3, text.upper()), (None, text), (None, "only this one has no id at all"), (None, "only this one has no id at all")]
