@@ -208,16 +208,20 @@ def with_rates(judged: DataFrame, posterior: str, rate: str, history: list, step
     return judged.withColumn(rate, rated(F.col(posterior)))
 
 
+def budget_for(totals: np.ndarray, shares: np.ndarray) -> float:
+    """The budget of which the tokens of the largest share's domain are its share."""
+    main = max(range(len(shares)), key=lambda d: (shares[d], totals[d]))
+    return float(totals[main] / shares[main])
+
+
 def targets_for(totals: np.ndarray, shares: np.ndarray, budget: float | None = None) -> np.ndarray:
-    """Target tokens by domain; without a budget, the most that asks no domain for more than it has.
+    """Target tokens by domain, ``shares`` of ``budget``.
 
-    A domain of less than a thousandth of all tokens doesn't bound the budget, since it would
-    drag all others down with it.
+    Without a budget the domain of the largest share (of equal ones that of the most tokens) keeps
+    all its own tokens, and the budget is the one of which they are its share. The shares of others
+    are upper bounds: a domain that has less keeps what it has and takes nothing from the others.
     """
-    if budget is None:
-        fits = [t / s for t, s in zip(totals, shares, strict=True) if s > 0 and t > totals.sum() / 1000]
-        budget = min(fits, default=float(totals.sum()))
-    return shares * budget
+    return shares * budget if budget is not None else np.minimum(shares * budget_for(totals, shares), totals)
 
 
 def mix(
@@ -227,8 +231,9 @@ def mix(
 
     shares: the wanted share of tokens for each domain, a value of ``domain``, a column of
     ``labels``; they are scaled to sum 1. copies_ is the rate rounded up or down by a hash of the
-    id, so that expected copies equal rates. Null and empty texts have no tokens and the posterior
-    of no evidence. Null ids round alike. Repeated rows have equal rates. Without labels the
+    id, so that expected copies equal rates. The report's unfilled is, by domain, what a target
+    lacks of its share of the budget. Null and empty texts have no tokens and the posterior of no
+    evidence. Null ids round alike. Repeated rows have equal rates. Without labels the
     posterior is the same for all. An empty table gives no rows. Without ``carry`` the text is left out.
     """
     names = sorted(shares)
@@ -241,11 +246,12 @@ def mix(
     sums = judged.agg(*[F.coalesce(F.sum(F.col(cols["tokens"]) * F.col(cols["posterior"])[k]), F.lit(0.0)).alias(n) for k, n in enumerate(names)]).first()
     totals = np.array([sums[n] for n in names], float)
     targets = targets_for(totals, want, budget)
+    unfilled = want * (budget_for(totals, want) if budget is None else budget) - targets
     history, step, residual = fit_rates(judged, cols["tokens"], cols["posterior"], targets)
     rated = with_rates(judged, cols["posterior"], cols["rate"], history, step)
     draw = F.pmod(F.xxhash64(F.col(id_col), F.lit("mix")), F.lit(1 << 40)) / float(1 << 40)
     rated = rated.withColumn(cols["copies"], F.floor(F.col(cols["rate"]) + draw).cast("int"))
-    return rated, {"columns": cols, "domains": names, "targets": targets, "totals": totals, "residual": residual, "passes": len(history)}
+    return rated, {"columns": cols, "domains": names, "targets": targets, "totals": totals, "unfilled": unfilled, "residual": residual, "passes": len(history)}
 
 
 def domain_of_labels() -> Column:

@@ -43,6 +43,23 @@ def test_query_meets_targets_and_labels(spark):
     assert abs(copies / told["targets"].sum() - 1) < 0.1
 
 
+def test_a_rare_domain_drops_nothing_of_the_others(spark):
+    shares = np.array([0.95, 0.05])
+    for rare in (0, 0.0005, 0.0009, 0.0011, 0.005, 0.02, 0.05, 0.12, 0.5):
+        totals = np.array([1 - rare, rare]) * 1e6
+        targets = mixing.targets_for(totals, shares)
+        assert np.allclose(targets, [totals[0], min(totals[1], totals[0] / 19)])
+    assert np.allclose(mixing.targets_for(totals, shares, 1000.0), [950, 50])
+    r = np.random.default_rng(5)
+    for toxic in (1, 10, 40):  # 0.05, 0.5 and 2 % of 2,000 documents
+        text = lambda k: " ".join(f"{'bad' if k < toxic else 'w'}{x}" for x in r.integers(0, 200, 40))  # noqa: B023, E731
+        docs = spark.createDataFrame([(k, text(k)) for k in range(2000)], "doc_id long, text string")
+        labels = spark.createDataFrame([(k, int(k < toxic)) for k in range(2000)], "doc_id long, toxic int")
+        rated, told = mixing.mix(docs, labels, F.col("toxic").cast("string"), {"0": 0.95, "1": 0.05})
+        clean = [x[told["columns"]["copies"]] for x in rated.where(f"doc_id >= {toxic}").collect()]
+        assert np.mean(clean) > 0.99 and told["unfilled"][0] == 0 < told["unfilled"][1]
+
+
 def test_odd_rows(spark):
     docs = spark.createDataFrame([(1, None, 1), (2, "", 1), (None, "a b", 1), (3, "bad " * 50_000, 1), (4, "fine text", 1), (4, "fine text", 1)], "doc_id long, text string, rate_ int")
     labels = spark.createDataFrame([(3, 1), (4, 0), (4, 0), (None, 1), (1, None)], "doc_id long, toxic int")
