@@ -27,7 +27,7 @@ VOCABULARY = 20_000
 TOLERANCE = 1e-4
 PASSES = 80
 #: Production targets: shares of the tokens by (quality, toxic) domain.
-TARGETS = {"q0t0": 0.04, "q1t0": 0.92, "q1t1": 0.04}
+TARGETS = {"q0t0": 0.04, "q0t1": 0.005, "q1t0": 0.92, "q1t1": 0.04}
 
 
 def words(text: bytes | None) -> list[bytes]:
@@ -156,7 +156,7 @@ def rates_of(p: np.ndarray, history: list[tuple[np.ndarray, float]], step: float
 
 
 def fit_rates(judged: DataFrame, tokens: str, posterior: str, targets: np.ndarray, tolerance: float = TOLERANCE, passes: int = PASSES) -> tuple[list, float, np.ndarray]:
-    """(history, step, residual): passes until the largest residual is below ``tolerance`` of all target tokens."""
+    """(history, step, residual), residuals in the history weighed: passes until the largest residual is below ``tolerance`` of all target tokens."""
     k = len(targets)
     judged = judged.select(F.col(tokens).cast("double").alias("t"), F.col(posterior).alias("p"))
 
@@ -180,17 +180,19 @@ def fit_rates(judged: DataFrame, tokens: str, posterior: str, targets: np.ndarra
     top = float(np.linalg.eigvalsh(first[1:])[-1])
     if top <= 0:
         return [], 0.0, first[0] - targets
-    step, history, point, momentum_t = 1 / top, [], first[0], 1.0
+    # Residuals are weighed by the damped inverse of the domains' Gram matrix, so that small domains converge like large ones.
+    metric = np.linalg.inv(first[1:] + 1e-3 * top * np.eye(k))
+    step, history, point, momentum_t = 1.0, [], first[0], 1.0
     whole = max(1.0, float(targets.sum()))
     residual = first[0] - targets
     for _ in range(passes):
         if np.abs(residual).max() <= tolerance * whole:
             break
         t = (1 + np.sqrt(1 + 4 * momentum_t**2)) / 2
-        history.append((point - targets, (momentum_t - 1) / t))
+        history.append((metric @ (point - targets), (momentum_t - 1) / t))
         momentum_t = t
         now, point = total(history, step)
-        if (now - targets) @ (now - targets) > residual @ residual:
+        if (now - targets) @ metric @ (now - targets) > residual @ metric @ residual:
             momentum_t = 1.0  # restart
         residual = now - targets
     return history, step, residual
@@ -230,14 +232,16 @@ def mix(
     """``docs`` with tokens_, posterior_, rate_ and copies_ (names made longer on a clash), and a report.
 
     shares: the wanted share of tokens for each domain, a value of ``domain``, a column of
-    ``labels``; they are scaled to sum 1. copies_ is the rate rounded up or down by a hash of the
+    ``labels``; they are scaled to sum 1. Other domains of labels are learned too and their share
+    is 0. copies_ is the rate rounded up or down by a hash of the
     id, so that expected copies equal rates. The report's unfilled is, by domain, what a target
     lacks of its share of the budget. Null and empty texts have no tokens and the posterior of no
     evidence. Null ids round alike. Repeated rows have equal rates. Without labels the
     posterior is the same for all. An empty table gives no rows. Without ``carry`` the text is left out.
     """
-    names = sorted(shares)
-    want = np.array([shares[n] for n in names], float)
+    seen = labels.where(F.col(id_col).isNotNull()).select(domain.alias("domain_")).distinct().where(F.col("domain_").isNotNull())
+    names = sorted({*shares, *(r["domain_"] for r in seen.collect())})  # a row for each domain
+    want = np.array([shares.get(n, 0) for n in names], float)
     want = want / want.sum()
     model = learn_domains(docs, labels, domain, names, id_col, text_col)
     cols = {k: free_name(docs, f"{k}_") for k in ("tokens", "posterior", "rate", "copies")}

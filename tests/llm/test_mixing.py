@@ -60,6 +60,20 @@ def test_a_rare_domain_drops_nothing_of_the_others(spark):
         assert np.mean(clean) > 0.99 and told["unfilled"][0] == 0 < told["unfilled"][1]
 
 
+def test_every_domain_of_labels_is_told_apart(spark):
+    r = np.random.default_rng(6)
+    truth = ["q1t0"] * 400 + ["q0t0"] * 60 + ["q1t1"] * 60 + ["q0t1"] * 60
+    docs = spark.createDataFrame([(k, " ".join(f"{n}{x}" for x in r.integers(0, 100, 30))) for k, n in enumerate(truth)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(n[1]), int(n[3])) for k, n in enumerate(truth)], "doc_id long, quality int, toxic int")
+    for shares in (mixing.TARGETS, {"q0t0": 0.04, "q1t0": 0.92, "q1t1": 0.04}):
+        rated, told = mixing.mix(docs, labels, mixing.domain_of_labels(), shares)
+        assert told["domains"] == ["q0t0", "q0t1", "q1t0", "q1t1"]
+        assert np.allclose(told["totals"], [1800, 1800, 12000, 1800], atol=150)
+        odd = np.mean([x["rate_"] for x in rated.where("doc_id >= 520").collect()])
+        assert abs(odd - told["targets"][1] / told["totals"][1]) < 0.02
+    assert "q0t1" in mixing.TARGETS
+
+
 def test_odd_rows(spark):
     docs = spark.createDataFrame([(1, None, 1), (2, "", 1), (None, "a b", 1), (3, "bad " * 50_000, 1), (4, "fine text", 1), (4, "fine text", 1)], "doc_id long, text string, rate_ int")
     labels = spark.createDataFrame([(3, 1), (4, 0), (4, 0), (None, 1), (1, None)], "doc_id long, toxic int")
