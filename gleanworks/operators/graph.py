@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,13 +11,14 @@ from pyspark.sql import functions as F
 SOURCES = ("directory", "nearby", "opponent")
 
 
-def expand(seeds: DataFrame, edges: DataFrame, scope: Column | None = None, max_rounds: int = 1000, checkpoint_every: int = 4) -> DataFrame:
+def expand(seeds: DataFrame, edges: DataFrame, scope: Column | None = None, max_rounds: int | None = None, checkpoint_every: int = 4) -> DataFrame:
     """``id, depth, via`` of everything reachable from ``seeds`` (id, via) over ``edges`` (src, dst, via).
 
     Seeds need not be in ``scope``, a condition on ``dst``; what edges lead to must. Each round
     joins only the new frontier and leaves out what was visited. Of several ways to a page the
     least depth wins, then directory before nearby before opponent, then the label. Frontiers are
     written by ``checkpoint()`` every few rounds, which cuts the lineage for lost executors too.
+    Rounds go on until nothing new is reached; more than ``max_rounds``, if given, are an error.
     """
     spark = seeds.sparkSession
     if not spark.sparkContext.getCheckpointDir():
@@ -28,11 +31,13 @@ def expand(seeds: DataFrame, edges: DataFrame, scope: Column | None = None, max_
     steps = edges.where(F.col("dst").isNotNull()) if scope is None else edges.where(F.col("dst").isNotNull() & scope)
     steps = steps.select("src", "dst", "via").distinct()
     visited = frontier = best(seeds, 0).checkpoint()
-    for depth in range(1, max_rounds + 1):
+    for depth in itertools.count(1):
         reached = frontier.select(F.col("id").alias("src")).join(steps, "src").select(F.col("dst").alias("id"), "via")
         frontier = best(reached, depth).join(visited.select("id"), "id", "left_anti").checkpoint()
         if not frontier.head(1):
             break
+        if max_rounds is not None and depth > max_rounds:
+            raise RuntimeError(f"something is reached only after more than {max_rounds} rounds")
         visited = visited.unionByName(frontier)
         if depth % checkpoint_every == 0:
             visited = visited.checkpoint()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gleanworks.functions import html as H
@@ -88,9 +88,9 @@ l AS (SELECT user_id, slice_no, max(event_id) AS event_id FROM s GROUP BY ALL)
 SELECT user_id, arg_min(event_id, slice_no) AS event_id, min(slice_no) AS slice_no FROM l GROUP BY user_id""")
 def slice_first_wins(spark, d):
     e = _t(spark, d, "events")
-    kinds = sorted(r[0] for r in e.select("event_type").distinct().limit(1000).collect())  # slices are few
-    no = F.array_position(F.array(*[F.lit(k) for k in kinds]), F.col("event_type")).alias("slice_no")
-    return dedup.merge_slices(e.select("user_id", "event_id", no), "user_id", "slice_no", "event_id")
+    no = F.row_number().over(Window.orderBy(F.col("event_type").asc_nulls_last())).cast("long").alias("slice_no")
+    kinds = e.select("event_type").distinct().select(F.col("event_type").alias("kind"), no)
+    return dedup.merge_slices(e.join(kinds, F.col("event_type").eqNullSafe(F.col("kind"))).select("user_id", "event_id", "slice_no"), "user_id", "slice_no", "event_id")
 
 
 @_query("""SELECT k, min(src) AS src FROM (SELECT s_nationkey AS k, CAST(0 AS BIGINT) AS src FROM supplier UNION ALL SELECT c_nationkey, 1 FROM customer

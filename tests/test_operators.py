@@ -271,3 +271,18 @@ def test_queries_run_and_have_sql(spark, sf_dir):
     for name, q in plan_catalog.queries().items():
         assert q(spark, sf_dir).count() >= 0
         assert name in sql or name == "fuzzy_match"
+
+
+def test_expansion_beyond_its_rounds_is_an_error(spark):
+    seeds = spark.createDataFrame([(0, "directory")], "id long, via string")
+    edges = spark.createDataFrame([(k, k + 1, "nearby") for k in range(4)], "src long, dst long, via string")
+    assert graph.expand(seeds, edges, max_rounds=4).count() == 5
+    with pytest.raises(RuntimeError):
+        graph.expand(seeds, edges, max_rounds=3)
+
+
+def test_more_than_a_thousand_slices(spark, tmp_path):
+    rows = [(k, k, f"type{k:05d}" if k < 1499 else None) for k in range(1500)]
+    spark.createDataFrame(rows, "event_id long, user_id long, event_type string").write.parquet(f"{tmp_path}/events.parquet")
+    got = plan_catalog.queries()["slice_first_wins"](spark, str(tmp_path)).collect()
+    assert sorted((r.user_id, r.slice_no) for r in got) == [(k, k + 1) for k in range(1500)]
