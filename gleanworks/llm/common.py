@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -9,7 +10,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 _OWN: dict[str, str] = {}
@@ -37,6 +38,26 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/gleanworks/{label}-{uuid.uuid4().hex}"
 
 
+_WRITTEN: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end what ``materialise`` has written meanwhile; results must have been written by then."""
+    _WRITTEN.append([])
+    try:
+        yield
+    finally:
+        for path in _WRITTEN.pop():
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared storage."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
@@ -44,6 +65,8 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     and values such as ``monotonically_increasing_id()`` are fixed from here on.
     """
     spark, path = df.sparkSession, scratch_path(df.sparkSession, label)
+    if _WRITTEN:
+        _WRITTEN[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -59,14 +82,33 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(TEXT_BATCH_ROWS))
 
 
-#: Up to so many numbers (about 45 MB as a hash table) one side of a semi-join is broadcast; beyond, both are shuffled.
+#: Up to so many rows of a few numbers (about 60 MB as a hash table) one side of a join is broadcast; beyond, both are shuffled.
 BROADCAST_IDS = 500_000
 
 
-def having(df: DataFrame, ids: DataFrame, on: str) -> DataFrame:
-    """The rows of ``df`` whose number ``on`` is in ``ids``, a written table of distinct numbers."""
+def having(df: DataFrame, ids: DataFrame, on: list[str], how: str = "left_semi") -> DataFrame:
+    """The rows of ``df`` whose numbers ``on`` are in ``ids``, a written table in which they are distinct."""
     few = ids.count() <= BROADCAST_IDS
-    return df.join(F.broadcast(ids.select(on)) if few else ids.select(on).hint("merge"), on, "left_semi")
+    return df.join(F.broadcast(ids) if few else ids.hint("merge"), on, how)
+
+
+def labelled_texts(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str, max_bytes: int) -> dict[object, list[bytes]]:
+    """Whole texts by ``group_`` for the bounded table ``chosen`` (group_, at_, id_), in the order of at_.
+
+    ``docs`` is scanned once. Texts of more than an eighth of ``max_bytes`` are passed over. Of each
+    group texts are taken in order while they sum up to at most ``max_bytes``; the sum is formed by
+    Spark and only those reach the driver. A repeated id gives each of its rows.
+    """
+    body = docs.select(F.col(id_col).alias("id_"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"").cast("binary")).alias("body_"))
+    found = F.broadcast(chosen).join(body.where(F.octet_length("body_") <= max_bytes // 8), "id_")  # chosen is bounded
+    found = materialise(found.select("group_", "at_", "id_", "body_"), "labelled")
+    order = [F.col(c) for c in ("at_", "id_")] + [F.octet_length("body_"), F.xxhash64("body_")]
+    upto = F.sum(F.octet_length("body_").cast("long")).over(Window.partitionBy("group_").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    sized = found.select("group_", "at_", "id_", "body_", upto.alias("upto_")).where(F.col("upto_") <= max_bytes)
+    out: dict[object, list[bytes]] = {}
+    for row in sized.orderBy("group_", "upto_", "at_", "id_").toLocalIterator():
+        out.setdefault(row["group_"], []).append(bytes(row["body_"]))
+    return out
 
 
 def free_name(df: DataFrame, wanted: str) -> str:
@@ -111,30 +153,110 @@ def matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """``node, label`` for every node of ``edges``; label: the smallest node reachable.
-
-    Each round takes the least label among the neighbours and then jumps to the label of the
-    label, so that rounds grow with the logarithm of a component's diameter. Labels live in
-    written tables only; the driver sees one count a round. Rows with a null end are ignored.
+def least_of_links(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, least node of its component) for each node of the links but the least ones themselves."""
+    nodes, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = at[: len(u)], at[len(u) :]
+    up = np.arange(len(nodes))
+    while True:
+        x, y = up[a], up[b]
+        apart = x != y
+        if not apart.any():
+            break
+        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+        np.minimum.at(up, np.maximum(x, y), np.minimum(x, y))
+        while True:
+            higher = up[up]
+            if (higher == up).all():
+                break
+            up = higher
+    some = np.flatnonzero(up != np.arange(len(up)))
+    return nodes[some], nodes[up[some]]
+
+
+def _forests(limit: int):
+    """Links to ``u, v, lot``: each lot's nodes with its least node, a lot holding at most ``limit`` links of a partition."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        lot, held, size = TaskContext.get().partitionId() << 20, [], 0
+
+        def close(u: np.ndarray, v: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for k in range(0, len(u), 1 << 16):
+                part = u[k : k + (1 << 16)], v[k : k + (1 << 16)]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, part), pa.array(np.full(len(part[0]), lot))], ["u", "v", "lot"])
+
+        def reduced() -> tuple[np.ndarray, np.ndarray]:
+            return least_of_links(np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]))
+
+        for batch in batches:
+            held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
+            size += batch.num_rows
+            if size >= limit:
+                u, v = reduced()
+                if len(u) > limit // 2:
+                    yield from close(u, v)
+                    lot, held, size = lot + 1, [], 0
+                else:
+                    held, size = [(u, v)], len(u)
+        if held:
+            yield from close(*reduced())
+
+    return run
+
+
+#: Links that a task joins at once; some 200 bytes each.
+LOT_LINKS = 1 << 21
+
+
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b", lot_links: int = LOT_LINKS, rounds: list | None = None) -> DataFrame:
+    """``node, label`` for every node that ``edges`` join to another; label: the smallest node reachable.
+
+    Randomised contraction. In a round each task first reduces its links to stars. Then every node
+    takes the neighbour that is first in an order drawn anew for the round (itself, if it is first),
+    links are set between those, and those within one are dropped. In a random order a node that has
+    neighbours is not chosen by any with a fixed chance, so whatever the shape of a component and
+    the numbers of its nodes, about half of the nodes or fewer go on to the next round: rounds grow
+    with the logarithm of the number of nodes, and the tables shrink geometrically. Only the first
+    round orders by number, which finishes stars around a least node. Where one task holds all links
+    that are left, its stars are the answer. Tables are written; the driver sees two numbers a round.
+    Rows with a null end are ignored. ``rounds``, if given, collects each round's number of links.
     """
-    e = edges.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(F.col(a).alias("src"), F.col(b).alias("dst"))
-    e = materialise(e.unionAll(e.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct(), "edges")
-    labels = materialise(e.groupBy(F.col("src").alias("node")).agg(F.least(F.col("src"), F.min("dst")).alias("label")), "labels")
+    ends = [F.least(a, b).cast("long").alias("u"), F.greatest(a, b).cast("long").alias("v")]
+    left = edges.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))).select(*ends).distinct()
+    chosen: list[DataFrame] = []
     while True:
-        heard = (
-            e.join(labels.select(F.col("node").alias("dst"), "label"), "dst")
-            .groupBy(F.col("src").alias("node"))
-            .agg(F.min("label").alias("heard"))
-        )
-        hooked = materialise(
-            labels.join(heard, "node").select("node", F.least("label", "heard").alias("label"), F.col("label").alias("old")), "hooked"
-        )
-        up = hooked.select(F.col("node").alias("label"), F.col("label").alias("up"))
-        jumped = materialise(hooked.join(up, "label").select("node", F.least("label", "up").alias("label"), "old"), "jumped")
-        labels = jumped.select("node", "label")
-        if not jumped.where(F.col("label") != F.col("old")).head(1):
-            return labels
+        turn = len(chosen)
+        stars = materialise(left.mapInArrow(_forests(lot_links), "u long, v long, lot long"), "stars")
+        seen = stars.agg(F.min("lot").alias("a"), F.max("lot").alias("b"), F.count(F.lit(1)).alias("n")).first()
+        if rounds is not None and seen["n"]:
+            rounds.append(seen["n"])
+        if not seen["n"]:
+            break
+        if seen["a"] == seen["b"]:
+            centres = stars.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()
+            chosen.append(stars.select(F.col("u").alias("node"), F.col("v").alias("label")).unionAll(centres))
+            break
+        order = (lambda c: F.col(c)) if turn == 0 else (lambda c, t=turn: F.xxhash64(F.col(c), F.lit(t)))
+        both = stars.select("u", "v").unionAll(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        first = both.groupBy(F.col("u").alias("node")).agg(F.min(F.struct(order("v").alias("place"), "v")).alias("first"))
+        mine = F.when(F.col("first.place") < order("node"), F.col("first.v")).otherwise(F.col("node"))
+        taken = materialise(first.select("node", mine.alias("label")), "taken")
+        chosen.append(taken)
+        of = lambda end, t=taken: t.select(F.col("node").alias(end), F.col("label").alias(f"{end}_"))
+        moved = stars.select("u", "v").join(of("u"), "u").join(of("v"), "v").where("u_ <> v_")
+        left = moved.select(F.least("u_", "v_").alias("u"), F.greatest("u_", "v_").alias("v")).distinct()
+    if not chosen:
+        return edges.sparkSession.createDataFrame([], "node long, label long")
+    labels = chosen.pop()
+    if not chosen:
+        return labels  # one task's stars, whose centres are the least nodes
+    while chosen:
+        up = labels.select(F.col("node").alias("label"), F.col("label").alias("up"))
+        labels = materialise(chosen.pop().join(up, "label", "left").select("node", F.coalesce("up", "label").alias("label")), "labels")
+    least = labels.groupBy("label").agg(F.min("node").alias("least"))
+    return materialise(labels.join(least, "label").select("node", F.col("least").alias("label")), "labels")
 
 
 def with_rank(df: DataFrame, order: list[Column], rank: str, parts: int | None = None) -> tuple[DataFrame, int]:

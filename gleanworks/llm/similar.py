@@ -7,18 +7,18 @@ similarity agree on one of them with probability RECALL or more. Bits to a shard
 logarithm of the number of documents, so shards stay small, and the number of lists grows slowly
 (a power of about 0.24) with it.
 
-Each shard is a BK-tree over 128 of the bits, searched within a radius of three standard
-deviations beyond the expected distance. What the trees find are candidates; links are those whose
-exact similarity of shingle sets is high enough. Candidates are checked from the nearest on, and no
-longer once both ends are in one component.
-
-There are two searches. The first takes the two nearest earlier fingerprints, and one that is all
-but equal to an earlier one is not put in the tree; it joins large groups of copies without their
-pairs. Shards in which that may have left a hit out are searched again: there, all hits within the
-radius are candidates but those whose ends the first search has joined. So every pair that some
-shard holds within the radius is either checked exactly or already in one component. Work follows
-the number of documents with near copies; only groups that are near each other without linking
-cost their pairs.
+Near. Each shard is searched with BK-trees over 128 of the bits, one tree for each group of
+fingerprints that are near each other, within a radius of three standard deviations beyond the
+expected distance. A search of a tree ends at its first hit, and a fingerprint all but equal to one
+that a tree holds is not added (the radius is wider by as much), so crowded shards stay cheap. The
+bits of texts of few shingles vary more; such texts meet by the rarest of their shingles instead,
+so many that two at the similarity surely share one. Hits only say which documents are near; what
+they connect is a neighbourhood.
+
+Linked. All pairs of a neighbourhood are compared, in tiles of two blocks of bounded size: first
+the radius, then a sketch, and where the sketch leaves it open the shingle sets themselves. A tile
+follows its own links, so that large groups of copies cost a row of comparisons each, and reports
+a tree of links, never pairs. Nothing is capped.
 """
 
 from __future__ import annotations
@@ -29,21 +29,22 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanworks.llm.common import connected_components, free_name, having, materialise, small_batches
+from gleanworks.llm.common import connected_components, free_name, having, materialise, small_batches, sorted_runs
 from gleanworks.llm.simhash import _LOWER, _U64, _WORD
 
 WORDS = 5
 SIMILARITY = 0.8
 RECALL = 0.997
-_NEAREST = 2
-_CERTAIN = 8  # of 128 bits
-_PAIRS = 20_000  # candidates of one Arrow batch
+SHORT = 75  # shingles
+_SAME = 2  # of 128 bits
+BLOCK_ROWS = 1024
+BLOCK_BYTES = 8 << 20
 _MIX = (1, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 _FP = ["f0", "f1", "f2", "f3"]
-_SKETCH = 128
+_CELLS = 512  # of a sketch, a power of two
 
 
 def shingle_hashes(text: bytes | None, words: int = WORDS) -> np.ndarray:
@@ -89,18 +90,15 @@ def lists_for(rows: int, similarity: float, recall: float = RECALL) -> list[np.n
     return [np.sort(draw.choice(256, bits, replace=False)) for _ in range(n)]
 
 
-class NearestTree:
-    """A BK-tree of (value, id) that finds the nearest values."""
+class NearTree:
+    """A BK-tree of (value, id) that is asked whether it holds a near one."""
 
     __slots__ = ("root",)
 
-    def __init__(self) -> None:
-        self.root: tuple[int, int, dict] | None = None
+    def __init__(self, value: int, name: int) -> None:
+        self.root: tuple[int, int, dict] = (value, name, {})
 
     def add(self, value: int, name: int) -> None:
-        if self.root is None:
-            self.root = (value, name, {})
-            return
         node = self.root
         while True:
             d = (node[0] ^ value).bit_count()
@@ -109,36 +107,47 @@ class NearestTree:
                 return
             node = node[2][d]
 
-    def nearest(self, value: int, radius: int, count: int, enough: int) -> list[tuple[int, int]]:
-        """Up to ``count`` nearest (distance, id) within ``radius``; stops at a distance of ``enough``."""
-        found: list[tuple[int, int]] = []
-        open_ = [self.root] if self.root else []
+    def near(self, value: int, radius: int) -> int | None:
+        """The id of a held value at a distance of ``radius`` or less, the first that is met."""
+        open_ = [self.root]
         while open_:
             node, name, kids = open_.pop()
             d = (node ^ value).bit_count()
             if d <= radius:
-                found = sorted([*found, (d, name)])[:count]
-                if d <= enough:
-                    return found[:1]
-                if len(found) == count:
-                    radius = found[-1][0]
-            if kids:
-                low, high = d - radius, d + radius
-                open_ += [kid for at, kid in kids.items() if low <= at <= high]
-        return found
-
-    def within(self, value: int, radius: int) -> list[int]:
-        """All held ids at a distance of ``radius`` or less."""
-        found: list[int] = []
-        open_ = [self.root] if self.root else []
-        while open_:
-            node, name, kids = open_.pop()
-            d = (node ^ value).bit_count()
-            if d <= radius:
-                found.append(name)
+                return name
             if kids:
                 low, high = d - radius, d + radius
                 open_ += [kid for at, kid in kids.items() if low <= at <= high]
+        return None
+
+
+class Neighbours:
+    """The fingerprints of one shard, as groups of trees; ``add`` gives an id of each group that is near."""
+
+    __slots__ = ("groups", "radius")
+
+    def __init__(self, radius: int) -> None:
+        self.groups: list[list[NearTree]] = []
+        self.radius = radius
+
+    def add(self, value: int, name: int) -> list[int]:
+        for group in self.groups:
+            for tree in group:
+                if (same := tree.near(value, _SAME)) is not None:
+                    return [same]
+        found, near, far = [], [], []
+        for group in self.groups:
+            hit = next((x for tree in group if (x := tree.near(value, self.radius + _SAME)) is not None), None)
+            if hit is None:
+                far.append(group)
+            else:
+                found.append(hit)
+                near += group
+        if near:
+            near[0].add(value, name)
+        else:
+            near.append(NearTree(value, name))
+        self.groups = [*far, near]
         return found
 
 
@@ -167,28 +176,21 @@ def _shards(lists: list[np.ndarray]):
 
 
 def _search(radius: int):
-    """Candidates ``a, b``; rows without ``a`` name in ``b`` the shards that may hold more of them."""
+    """Rows sorted by shard to ``a, b``: links enough to connect what is near in a shard."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, last, out, cut = NearestTree(), None, [], None
+        near, last, out = Neighbours(radius), None, []
         held: tuple | None = None  # a shard's first row, put in a tree once there is a second
         for batch in batches:
             for shard, gid, f0, f1 in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 value = (f0 & _U64) << 64 | f1 & _U64
                 if shard != last:
-                    tree, last, held = NearestTree(), shard, (value, gid)
+                    near, last, held = Neighbours(radius), shard, (value, gid)
                     continue
                 if held:
-                    tree.add(*held)
+                    near.add(*held)
                     held = None
-                near = tree.nearest(value, radius, _NEAREST, _CERTAIN)
-                out += [(gid, other) for _, other in near]
-                sure = bool(near) and near[0][0] <= _CERTAIN
-                if not sure:
-                    tree.add(value, gid)
-                if (sure or len(near) == _NEAREST) and cut != shard:
-                    out.append((None, shard))
-                    cut = shard
+                out += [(gid, other) for other in near.add(value, gid)]
             if out:
                 yield _pairs(out)
                 out = []
@@ -200,30 +202,19 @@ def _pairs(out: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["a", "b"])
 
 
-def _search_apart(radius: int):
-    """All candidates ``a, b`` within ``radius`` whose labels differ, of rows sorted by shard and label."""
+def _short_links(distinct: DataFrame, similarity: float) -> DataFrame:
+    """``a, b``: texts of few shingles and the first text that has one of their rarest shingles in common.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, last, mark, out = NearestTree(), None, None, []
-        held: list[tuple] = []  # rows of the label at hand, put in the tree once there is another
-        for batch in batches:
-            for shard, label, gid, f0, f1 in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                value = (f0 & _U64) << 64 | f1 & _U64
-                if shard != last:
-                    tree, last, mark, held = NearestTree(), shard, label, []
-                elif label != mark:
-                    for row in held:
-                        tree.add(*row)
-                    mark, held = label, []
-                held.append((value, gid))
-                out += [(gid, other) for other in tree.within(value, radius)]
-                if len(out) >= _PAIRS:
-                    yield _pairs(out)
-                    out = []
-        if out:
-            yield _pairs(out)
-
-    return run
+    Sets of n and more shingles at the similarity have at most n - ceil(similarity * n) that the
+    other lacks, so of one more of the rarest of each, by one order over all, they share one.
+    """
+    each = distinct.where(F.size("who.short") > 0).select("gid", F.size("who.short").alias("n"), F.explode("who.short").alias("h"))
+    counts = each.groupBy("h").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    common = each.join(counts, "h").groupBy("gid", "n").agg(F.sort_array(F.collect_list(F.struct("times", "h"))).alias("common"))
+    first = F.col("n") - F.ceil(F.col("n") * similarity - 1e-9) + 1 - (F.col("n") - F.size("common"))
+    shared = materialise(common.withColumn("first", first.cast("int")).where("first > 0").select("gid", F.explode(F.slice("common", F.lit(1), F.col("first"))).alias("c")).select("gid", "c.h"), "rare-shingles")
+    least = shared.groupBy("h").agg(F.min("gid").alias("b"))
+    return shared.join(least, "h").where("gid <> b").select(F.col("gid").alias("a"), "b")
 
 
 def short_hashes(hashes: np.ndarray) -> np.ndarray:
@@ -231,113 +222,139 @@ def short_hashes(hashes: np.ndarray) -> np.ndarray:
     return np.unique((hashes >> np.uint64(32)).astype(np.uint32))
 
 
-def sketch(hashes: np.ndarray) -> np.ndarray:
-    """The ``_SKETCH`` least of the set's 32-bit hashes."""
-    return short_hashes(hashes)[:_SKETCH]
+def sketch(held: np.ndarray) -> np.ndarray:
+    """A byte for each of ``_CELLS`` equal ranges of hashes: 0 if the set has none there, else of its least one."""
+    out = np.zeros(_CELLS, np.uint8)
+    if len(held):
+        cell = held >> np.uint32(32 - (_CELLS.bit_length() - 1))
+        firsts = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
+        out[cell[firsts]] = held[firsts] % np.uint32(255) + np.uint32(1)
+    return out
 
 
-def _estimated(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
-    """``a, b, j``: the share of the least hashes of each pair's union that both sets have."""
-    side = lambda end: sketches.select(F.col("gid").alias(end), F.col("sketch").alias(f"{end}k"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
+def similar_enough(x: np.ndarray, y: np.ndarray, similarity: float) -> bool:
+    """Whether two sorted sets of hashes have the Jaccard similarity."""
+    if min(len(x), len(y)) < similarity * max(len(x), len(y)) - 1e-9:
+        return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both >= similarity * (len(x) + len(y) - both) - 1e-9
+
+
+def link_tile(gids: np.ndarray, fps: np.ndarray, sets: list[np.ndarray], split: int, radius: int, similarity: float) -> list[tuple[int, int]]:
+    """A tree of the links between the first ``split`` rows and the others; of all rows, if there are no others."""
+    n = len(gids)
+    sizes = np.array([len(s) for s in sets])
+    cells = np.stack([sketch(s) for s in sets])
+    root, out = np.arange(n), []
+    for i in range(split):
+        low = i + 1 if split == n else split
+        at = low + np.flatnonzero(root[low:] != root[i])
+        if sizes[i] > SHORT:
+            at = at[(np.bitwise_count(fps[at] ^ fps[i]).sum(axis=1) <= radius) | (sizes[at] <= SHORT)]
+        at = at[np.minimum(sizes[at], sizes[i]) >= similarity * np.maximum(sizes[at], sizes[i]) - 1e-9]
+        if not len(at):
+            continue
+        neither = ((cells[at] | cells[i]) == 0).sum(axis=1)
+        share = ((cells[at] == cells[i]).sum(axis=1) - neither) / np.maximum(_CELLS - neither, 1)
+        # A cell shared by several hashes may hide a common one: of small sets a few count for much.
+        open_ = similarity - np.maximum(4.5 * math.sqrt(similarity * (1 - similarity) / _CELLS), 3 / np.maximum(1, np.minimum(sizes[at], sizes[i])))
+        ok = share >= open_
+        at, share = at[ok], share[ok]
+        for j in at[np.argsort(-share, kind="stable")].tolist():
+            if root[j] != root[i] and similar_enough(sets[i], sets[j], similarity):
+                out.append((int(gids[i]), int(gids[j])))
+                root[root == root[j]] = root[i]
+    return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                u, v = np.frombuffer(x.as_py(), np.uint32), np.frombuffer(y.as_py(), np.uint32)
-                least = np.union1d(u, v)[: min(_SKETCH, max(len(u), len(v)))]
-                out.append(float(np.isin(least, np.intersect1d(u, v, assume_unique=True)).mean()) if len(least) else 1.0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.float64())], ["a", "b", "j"])
 
-    return both.select("a", "b", "ak", "bk").mapInArrow(run, "a long, b long, j double")
+def _linked(near: DataFrame, sets: DataFrame, radius: int, similarity: float, block_rows: int, block_bytes: int) -> DataFrame:
+    """``a, b``: links enough to connect all that link within a neighbourhood (gid, near); sets: gid, f0, f1, s."""
+    rows = sets.join(near, "gid")
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / block_rows), F.ceil(F.sum(F.octet_length("s")) / block_bytes)).cast("int")
+    sizes = materialise(rows.groupBy("near").agg(blocks.alias("blocks")), "neighbourhoods")
+    mine = rows.join(sizes, "near").withColumn("block", F.pmod(F.xxhash64("gid"), F.greatest("blocks", F.lit(1))).cast("int"))
+    tiled = mine.withColumn("other", F.explode(F.sequence(F.lit(0), F.greatest(F.col("blocks"), F.lit(1)) - 1)))
+    key = ["near", "low", "high"]
+    tiled = tiled.select("near", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "gid", "f0", "f1", "s")
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple[int, int]] = []
+        for tile in sorted_runs(batches, key):
+            gids, block = tile["gid"].to_numpy(), tile["block"].to_numpy()
+            own = np.flatnonzero(np.r_[True, gids[1:] != gids[:-1]])  # repeated rows have one text
+            fps = np.stack([tile[c].to_numpy()[own].view(np.uint64) for c in ("f0", "f1")], axis=1)
+            held = tile["s"].combine_chunks()
+            held = [np.frombuffer(held[k].as_buffer(), np.uint32) for k in own.tolist()]
+            first = int((block[own] == tile["low"][0].as_py()).sum())
+            if len(own) > 1:
+                out += link_tile(gids[own], fps, held, first, radius, similarity)
+            if len(out) >= 1 << 14:
+                yield _pairs(out)
+                out = []
+        if out:
+            yield _pairs(out)
 
-def _verified(rows: DataFrame, pairs: DataFrame, sketches: DataFrame, words: int, similarity: float, links: DataFrame | None = None, labels: DataFrame | None = None) -> tuple[DataFrame | None, DataFrame | None]:
-    """(links, labels): of the distinct ``pairs`` at ``similarity`` or more those that it takes to connect them all.
+    return tiled.repartition(*key).sortWithinPartitions(*key, "block", "gid").mapInArrow(run, "a long, b long")
 
-    Links and labels of an earlier call are added to.
-    """
-    low = similarity - 4.5 * math.sqrt(similarity * (1 - similarity) / _SKETCH)
-    cand = materialise(_estimated(pairs, sketches).where(F.col("j") >= low), "candidates")
-    ends = materialise(cand.select(F.col("a").alias("rid")).union(cand.select("b")).distinct(), "ends")
 
-    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [short_hashes(shingle_hashes(t.as_py(), words)).view(np.int32) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32()))], ["gid", "s"])
-
-    sets = materialise(having(rows.select("rid", "body"), ends, "rid").mapInArrow(sets_of, "gid long, s array<int>"), "shingle-sets")
-    most = 1
-    while True:
-        still = cand
-        if labels is not None:
-            of = lambda end: labels.select(F.col("node").alias(end), F.col("label").alias(f"{end}_"))  # noqa: E731, B023
-            still = cand.join(of("a"), "a", "left").join(of("b"), "b", "left")
-            still = still.where(F.coalesce("a_", "a") != F.coalesce("b_", "b")).select("a", "b", "j")
-        place = F.row_number().over(Window.partitionBy("a").orderBy(F.col("j").desc(), "b"))
-        still = materialise(still.withColumn("place", place), "open")
-        if not still.head(1):
-            break
-        picked = still.where(F.col("place") <= most).select("a", "b")
-        cand = materialise(still.where(F.col("place") > most).select("a", "b", "j"), "later")
-        side = lambda end: sets.select(F.col("gid").alias(end), F.col("s").alias(f"{end}s"))
-        both = picked.join(side("a"), "a").join(side("b"), "b")
-        common = F.size(F.array_intersect("as", "bs"))
-        good = both.where(common >= F.lit(similarity) * (F.size("as") + F.size("bs") - common) - 1e-9).select("a", "b")
-        links = materialise(good if links is None else links.unionAll(good), "links")
-        labels = connected_components(links)
-        most *= 8
-    return links, labels
-
-
-def near_duplicate_survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
+def near_duplicate_survivors(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, similarity: float = SIMILARITY, block_rows: int = BLOCK_ROWS, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
     """The rows of ``docs`` with one document of each group of near duplicates: that of the smallest id.
 
     Documents are linked if the Jaccard similarity of their sets of ``words``-word shingles is at
     least ``similarity``; groups are what links connect. Texts without words, null ones among them,
-    are copies of each other. Of rows with the same id in a group, or without an id, the first in
-    the table stays; a null id counts as the largest. Columns are those of ``docs``, whatever their
-    names; an empty table gives no rows.
+    are copies of each other. A null id counts as the largest; of a group's rows with the smallest
+    id one text's stay, and of rows equal in id and text any one. Columns are those of ``docs``,
+    whatever their names; an empty table gives no rows. ``docs`` is read three times and must give
+    the same rows each time; texts are not written and, up to ``BROADCAST_IDS`` of the ids that are
+    sought, not shuffled.
     """
     small_batches(docs.sparkSession)
-    rid = free_name(docs, "rid")
-    kept = materialise(docs.withColumn(rid, F.monotonically_increasing_id()), "rows")
-    rows = kept.select(F.col(rid).alias("rid"), F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("body"))
+    keys = [free_name(docs, "k1_"), free_name(docs, "k2_")]
+    text = F.col(text_col).cast("binary")
+    hashed = [F.xxhash64(F.col(id_col), text).alias(keys[0]), F.xxhash64(F.lit("second"), F.col(id_col), text).alias(keys[1])]
+    rows = docs.select(hashed[0].alias("k1"), hashed[1].alias("k2"), F.col(id_col).alias("id"), text.alias("body"))
 
     def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shingle_hashes(t.as_py(), words) for t in batch.column(2)]
-            fp = np.array([wide_fingerprint(h) for h in found]).reshape(-1, 4).view(np.int64)
-            least = pa.array([sketch(h).tobytes() for h in found], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(fp[:, j]) for j in range(4)), least], ["rid", "id", *_FP, "sketch"])
+            fp, short = np.empty((batch.num_rows, 4), np.uint64), []
+            for k, t in enumerate(batch.column(3)):
+                found = shingle_hashes(t.as_py(), words)
+                fp[k] = wide_fingerprint(found)
+                short.append(found.view(np.int64) if len(found) <= SHORT else None)
+            cols = [pa.array(fp[:, j].view(np.int64)) for j in range(4)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *cols, pa.array(short, pa.list_(pa.int64()))], ["k1", "k2", "id", *_FP, "short"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    marked = materialise(rows.mapInArrow(prints, f"rid long, id {kind}, f0 long, f1 long, f2 long, f3 long, sketch binary"), "fingerprints")
-    who = F.struct(F.col("id").isNull().alias("none"), "id", "rid")
+    marked = materialise(rows.mapInArrow(prints, f"k1 long, k2 long, id {kind}, f0 long, f1 long, f2 long, f3 long, short array<long>"), "fingerprints")
+    who = F.struct(F.col("id").isNull().alias("none"), "id", "k1", "k2", "short")
     distinct = marked.groupBy(*_FP).agg(F.min(who).alias("who"))
-    distinct = materialise(distinct.withColumn("gid", F.col("who.rid")), "distinct")
-    n = distinct.count()
+    distinct = materialise(distinct.withColumn("gid", F.monotonically_increasing_id()), "distinct")
     share = bit_share(similarity)
     radius = math.ceil(128 * share + 3 * math.sqrt(128 * share * (1 - share)))
-    sharded = distinct.select("gid", *_FP).mapInArrow(_shards(lists_for(n, similarity)), "shard long, gid long, f0 long, f1 long")
+    sharded = distinct.select("gid", *_FP).mapInArrow(_shards(lists_for(distinct.count(), similarity)), "shard long, gid long, f0 long, f1 long")
     found = sharded.repartition("shard").sortWithinPartitions("shard", "gid").mapInArrow(_search(radius), "a long, b long")
-    found = materialise(found.distinct(), "found")
-    sketches = marked.select(F.col("rid").alias("gid"), "sketch")
-    links, labels = _verified(rows, found.where(F.col("a").isNotNull()), sketches, words, similarity)
-    cut = materialise(found.where(F.col("a").isNull()).select(F.col("b").alias("shard")), "cut-shards")
-    if cut.head(1):
-        more = having(sharded, cut, "shard")
-        if labels is None:
-            more = more.withColumn("label", F.col("gid"))
-        else:
-            more = more.join(labels.select(F.col("node").alias("gid"), "label"), "gid", "left").withColumn("label", F.coalesce("label", "gid"))
-        more = more.select("shard", "label", "gid", "f0", "f1").repartition("shard").sortWithinPartitions("shard", "label", "gid")
-        apart = materialise(more.mapInArrow(_search_apart(radius), "a long, b long").distinct(), "apart")
-        links, labels = _verified(rows, apart, sketches, words, similarity, links, labels)
-    if labels is None:
-        labels = rows.sparkSession.createDataFrame([], "node long, label long")
+    near = connected_components(found.unionAll(_short_links(distinct, similarity))).select(F.col("node").alias("gid"), F.col("label").alias("near"))
+    near = materialise(near.join(distinct.select("gid", "who.k1", "who.k2", "f0", "f1"), "gid"), "near")
+
+    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [short_hashes(shingle_hashes(t.as_py(), words)).tobytes() for t in batch.column(3)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(found, pa.binary())], ["gid", "f0", "f1", "s"])
+
+    texts = having(rows.select("k1", "k2", "body"), near.select("k1", "k2", "gid", "f0", "f1"), ["k1", "k2"], "inner")
+    sets = materialise(texts.select("gid", "f0", "f1", "body").mapInArrow(sets_of, "gid long, f0 long, f1 long, s binary"), "shingle-sets")
+    links = _linked(near.select("gid", "near"), sets, radius, similarity, block_rows, block_bytes)
+    labels = connected_components(links)
     of = distinct.select("gid", "who").join(labels.select(F.col("node").alias("gid"), "label"), "gid", "left")
     stay = of.groupBy(F.coalesce("label", "gid").alias("label")).agg(F.min("who").alias("who"))
-    stay = materialise(stay.select(F.col("who.rid").alias(rid)), "stay")
-    return having(kept, stay, rid).drop(rid)
+    again = marked.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    stay = stay.select(F.col("who.k1").alias("k1"), F.col("who.k2").alias("k2")).join(again, ["k1", "k2"], "left")
+    stay = materialise(stay.select(F.col("k1").alias(keys[0]), F.col("k2").alias(keys[1]), F.col("rows").isNotNull().alias("repeated")), "stay")
+    keyed = docs.select("*", *hashed)
+    once = having(keyed, stay.where(~F.col("repeated")).drop("repeated"), keys)
+    repeated = stay.where("repeated").drop("repeated")
+    if repeated.head(1):
+        once = once.unionByName(having(keyed, repeated, keys).dropDuplicates(keys))
+    return once.drop(*keys)

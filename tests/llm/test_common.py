@@ -1,0 +1,86 @@
+"""Connected components against union-find: results and rounds."""
+
+from __future__ import annotations
+
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from gleanworks.llm import common
+
+
+def brute(edges):
+    parent = {x: x for e in edges if None not in e for x in e}
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    for a, b in edges:
+        if a is not None and b is not None:
+            a, b = sorted((find(a), find(b)))
+            parent[b] = a
+    joined = {x for a, b in edges if None not in (a, b) and a != b for x in (a, b)}
+    return {x: find(x) for x in joined}
+
+
+def path(names):
+    return list(zip(names, names[1:], strict=False))
+
+
+def bit_reversed(n):
+    return [int(f"{k:0{n.bit_length() - 1}b}"[::-1], 2) for k in range(n)]
+
+
+def shuffled(n):
+    names = list(range(n))
+    random.Random(n).shuffle(names)
+    return names
+
+
+SHAPES = {
+    "sorted path": path(list(range(128))),
+    "shuffled path": path(shuffled(128)),
+    "bit-reversed path": path(bit_reversed(128)),
+    "star around the least": [(0, k) for k in range(1, 120)],
+    "star around the largest": [(120, k) for k in range(120)],
+    "random": [(random.Random(k).randint(0, 180), random.Random(-k - 1).randint(0, 180)) for k in range(150)],
+    "odd rows": [(1, 1), (None, 2), (3, None), (5, 4), (5, 4), (4, 5), (-7, 5), (9, 8)],
+    "nothing": [],
+}
+
+
+@pytest.mark.parametrize("shape", SHAPES)
+def test_components_and_rounds(spark, shape):
+    edges = SHAPES[shape]
+    df = spark.createDataFrame(edges, "a long, b long").repartition(4)
+    # Small lots: no task may finish a component alone.
+    rounds: list[int] = []
+    got = {r.node: r.label for r in common.connected_components(df, lot_links=4, rounds=rounds).collect()}
+    want = brute(edges)
+    assert got == want
+    assert len(rounds) <= max(3, 2 * math.log2(len(want) or 1)), rounds
+    assert {r.node: r.label for r in common.connected_components(df).collect()} == want
+
+
+def test_a_task_reduces_any_path_to_stars():
+    import numpy as np
+
+    for names in (shuffled(3000), bit_reversed(2048), list(range(1000))):
+        u, v = (np.array(x) for x in zip(*path(names), strict=True))
+        node, least = common.least_of_links(u, v)
+        assert sorted(node) == sorted(set(names) - {0}) and set(least) == {0}
+
+
+def test_scratch_removes_what_was_written(spark):
+    from pathlib import Path
+
+    root = Path(common.shared_dir(spark).removeprefix("file://")) / "gleanworks"
+    before = set(root.glob("*")) if root.exists() else set()
+    with common.scratch(spark):
+        held = common.materialise(spark.range(5).toDF("x"), "some")
+        assert held.agg(F.sum("x")).first()[0] == 10 and set(root.glob("*")) - before
+    assert set(root.glob("*")) == before
