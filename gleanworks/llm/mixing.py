@@ -5,8 +5,8 @@ over domains. Each document gets a rate r >= 0, near 1, such that the expected d
 sum(r * tokens * posterior) match targets. The rates solve a least-squares problem by accelerated
 projected gradient: a pass over the documents sums the domain totals in each partition, the driver
 adds those few numbers and forms the next residual. A document's rate is a function of its tokens,
-its posterior and the residuals so far, so rates are computed where they are used and never stored
-or shipped between passes; a lost executor loses nothing.
+its posterior and the residuals so far, so rates are computed where they are used; they are written
+only every few passes, which bounds what a pass has to replay, and a lost executor loses nothing.
 """
 
 from __future__ import annotations
@@ -19,13 +19,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanworks.llm.common import free_name, materialise, matrix, small_batches
+from gleanworks.llm.common import free_name, having, labelled_texts, materialise, matrix, small_batches
 
 SAMPLE_DOCS = 2000
 SAMPLE_BYTES = 12 << 20
 VOCABULARY = 20_000
 TOLERANCE = 1e-4
-PASSES = 80
+PASSES = 2000
+STALL = 20
+REPLAY = 12
 #: Production targets: shares of the tokens by (quality, toxic) domain.
 TARGETS = {"q0t0": 0.04, "q0t1": 0.005, "q1t0": 0.92, "q1t1": 0.04}
 
@@ -97,26 +99,22 @@ def fit_domains(texts: list[list[bytes]], names: list[str], prior: np.ndarray, v
 
 
 def learn_domains(docs: DataFrame, labels: DataFrame, domain: Column, names: list[str], id_col: str = "doc_id", text_col: str = "text", sample_docs: int = SAMPLE_DOCS, sample_bytes: int = SAMPLE_BYTES) -> Domains:
-    """Sample at most ``sample_docs`` labelled rows and ``sample_bytes`` bytes for each domain and learn."""
+    """Sample at most ``sample_docs`` labelled rows and ``sample_bytes`` bytes for each domain and learn.
+
+    A domain's sample is in the order of a hash of the id, without texts of more than an eighth of
+    the bytes, and ends before the first text that would exceed them.
+    """
     known = labels.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id_"), domain.alias("domain_")).where(F.col("domain_").isin(names))
     known = known.groupBy("id_").agg(F.min("domain_").alias("domain_"))
     counts = {r["domain_"]: r["count"] for r in known.groupBy("domain_").count().collect()}  # a row for each domain
     total = max(1, sum(counts.values()))
     prior = np.array([max(counts.get(n, 0), 1) / total for n in names])
-    body = docs.select(F.col(id_col).alias("id_"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"").cast("binary")).alias("body_"))
-    texts: list[list[bytes]] = [[] for _ in names]
     picked = None
     for n in names:
-        some = known.where(F.col("domain_") == n).withColumn("at_", F.xxhash64("id_")).orderBy("at_", "id_").limit(sample_docs)
+        some = known.where(F.col("domain_") == n).select(F.col("domain_").alias("group_"), F.xxhash64("id_").alias("at_"), "id_").orderBy("at_", "id_").limit(sample_docs)
         picked = some if picked is None else picked.unionAll(some)
-    sizes = [0] * len(names)
-    found = F.broadcast(picked).join(body, "id_").where(F.octet_length("body_") <= sample_bytes // 8)  # at most sample_docs for each domain
-    for row in found.orderBy("at_", "id_", F.octet_length("body_")).toLocalIterator():
-        d = names.index(row["domain_"])
-        if sizes[d] + len(row["body_"]) <= sample_bytes:
-            texts[d].append(bytes(row["body_"]))
-            sizes[d] += len(row["body_"])
-    return fit_domains(texts, names, prior / prior.sum())
+    texts = labelled_texts(docs, picked, id_col, text_col, sample_bytes)
+    return fit_domains([texts.get(n, []) for n in names], names, prior / prior.sum())
 
 
 def with_posterior(docs: DataFrame, model: Domains, text_col: str, tokens: str, posterior: str) -> DataFrame:
@@ -141,31 +139,56 @@ def with_posterior(docs: DataFrame, model: Domains, text_col: str, tokens: str,
     return marked.withColumn(tokens, F.col(both)["n"]).withColumn(posterior, F.col(both)["p"]).drop(both)
 
 
-def rates_of(p: np.ndarray, history: list[tuple[np.ndarray, float]], step: float) -> tuple[np.ndarray, np.ndarray]:
-    """Each row's rate and the point of its next gradient, after the passes in ``history``.
+def rates_of(p: np.ndarray, history: list[tuple[np.ndarray, float]], step: float, rate: np.ndarray | None = None, at: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Each row's rate and the point of its next gradient, after the passes in ``history`` from those given.
 
     A pass is (residual of the domain totals, momentum). Rates start at 1; the gradient is taken in
     the metric of the tokens, in which projecting on r >= 0 is cutting at 0.
     """
-    r = np.ones(len(p))
-    at = r
+    r = np.ones(len(p)) if rate is None else rate
+    at = r if at is None else at
     for residual, momentum in history:
         new = np.maximum(0, at - step * (p @ residual))
         at, r = new + momentum * (new - r), new
     return r, at
 
 
-def fit_rates(judged: DataFrame, tokens: str, posterior: str, targets: np.ndarray, tolerance: float = TOLERANCE, passes: int = PASSES) -> tuple[list, float, np.ndarray]:
-    """(history, step, residual), residuals in the history weighed: passes until the largest residual is below ``tolerance`` of all target tokens."""
+def _advanced(judged: DataFrame, posterior: str, rate: str, point: str, history: list, step: float) -> DataFrame:
+    """``judged`` with its rates and points after the passes in ``history``."""
+    both = free_name(judged, "moved_")
+
+    @F.pandas_udf("struct<r:double,x:double>")
+    def moved(p, r, x):  # noqa: ANN001, ANN202
+        import pandas as pd
+
+        got = rates_of(np.array(p.tolist(), float).reshape(len(p), -1), history, step, r.to_numpy(), x.to_numpy())
+        return pd.DataFrame({"r": got[0], "x": got[1]})
+
+    df = judged.withColumn(both, moved(F.col(posterior), F.col(rate), F.col(point)))
+    return df.withColumns({rate: F.col(both)["r"], point: F.col(both)["x"]}).drop(both)
+
+
+def fit_rates(
+    judged: DataFrame, tokens: str, posterior: str, targets: np.ndarray, rate: str = "rate", tolerance: float = TOLERANCE, passes: int = PASSES, replay: int = REPLAY
+) -> tuple[DataFrame, np.ndarray, int, bool]:
+    """(``judged`` with ``rate``, residual by domain, passes, met).
+
+    Passes go on until the largest residual is below ``tolerance`` of all target tokens (met), or
+    until the weighed residual has not become smaller by a thousandth in STALL passes: then the
+    targets are out of reach and the rates are the nearest, within that. More than ``passes`` are an
+    error. A pass replays the steps since rates were last written, which is every ``replay`` passes,
+    so that work grows with the number of passes and not its square.
+    """
     k = len(targets)
-    judged = judged.select(F.col(tokens).cast("double").alias("t"), F.col(posterior).alias("p"))
+    point = free_name(judged, "point_")
+    judged = judged.withColumn(rate, F.lit(1.0)).withColumn(point, F.lit(1.0))
 
     def total(history: list, step: float, gram: bool = False) -> np.ndarray:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out = np.zeros((k + 1, k) if gram else (2, k))
             for batch in batches:
                 t, p = batch.column(0).to_numpy(), matrix(batch.column(1)).reshape(batch.num_rows, k)
-                r, at = rates_of(p, history, step)
+                r, at = rates_of(p, history, step, batch.column(2).to_numpy(), batch.column(3).to_numpy())
                 out[0] += (r * t) @ p
                 if gram:
                     out[1:] += (p * t[:, None]).T @ p
@@ -173,41 +196,36 @@ def fit_rates(judged: DataFrame, tokens: str, posterior: str, targets: np.ndarra
                     out[1] += (at * t) @ p
             yield pa.RecordBatch.from_arrays([pa.array([out.ravel().tolist()], pa.list_(pa.float64()))], ["s"])
 
-        parts = judged.mapInArrow(run, "s array<double>").collect()  # a few numbers for each partition
+        rows = judged.select(F.col(tokens).cast("double"), F.col(posterior), F.col(rate), F.col(point))
+        parts = rows.mapInArrow(run, "s array<double>").collect()  # a few numbers for each partition
         return np.sum([np.array(x["s"]) for x in parts], axis=0).reshape(-1, k) if parts else np.zeros((k + 1 if gram else 2, k))
 
     first = total([], 0.0, gram=True)
     top = float(np.linalg.eigvalsh(first[1:])[-1])
+    residual = first[0] - targets
     if top <= 0:
-        return [], 0.0, first[0] - targets
+        return judged.drop(point), residual, 0, bool(np.abs(residual).max(initial=0) <= tolerance)
     # Residuals are weighed by the damped inverse of the domains' Gram matrix, so that small domains converge like large ones.
     metric = np.linalg.inv(first[1:] + 1e-3 * top * np.eye(k))
-    step, history, point, momentum_t = 1.0, [], first[0], 1.0
+    step, history, at, momentum_t = 1.0, [], first[0], 1.0
     whole = max(1.0, float(targets.sum()))
-    residual = first[0] - targets
-    for _ in range(passes):
-        if np.abs(residual).max() <= tolerance * whole:
+    losses, n = [float(residual @ metric @ residual)], 0
+    while (met := bool(np.abs(residual).max() <= tolerance * whole)) is False:
+        if len(losses) > STALL and min(losses[-STALL:]) > 0.999 * min(losses[:-STALL]):
             break
+        if n >= passes:
+            raise RuntimeError(f"rates have not settled in {passes} passes: residual {residual.tolist()}")
         t = (1 + np.sqrt(1 + 4 * momentum_t**2)) / 2
-        history.append((metric @ (point - targets), (momentum_t - 1) / t))
-        momentum_t = t
-        now, point = total(history, step)
-        if (now - targets) @ metric @ (now - targets) > residual @ metric @ residual:
-            momentum_t = 1.0  # restart
+        history.append((metric @ (at - targets), (momentum_t - 1) / t))
+        momentum_t, n = t, n + 1
+        now, at = total(history, step)
         residual = now - targets
-    return history, step, residual
-
-
-def with_rates(judged: DataFrame, posterior: str, rate: str, history: list, step: float) -> DataFrame:
-    """``judged`` with each row's rate."""
-
-    @F.pandas_udf("double")
-    def rated(p):  # noqa: ANN001, ANN202
-        import pandas as pd
-
-        return pd.Series(rates_of(np.array(p.tolist(), float).reshape(len(p), -1), history, step)[0])
-
-    return judged.withColumn(rate, rated(F.col(posterior)))
+        losses.append(float(residual @ metric @ residual))
+        if losses[-1] > losses[-2]:
+            momentum_t = 1.0  # restart
+        if len(history) == replay:
+            judged, history = materialise(_advanced(judged, posterior, rate, point, history, step), "rates"), []
+    return (_advanced(judged, posterior, rate, point, history, step) if history else judged).drop(point), residual, n, met
 
 
 def budget_for(totals: np.ndarray, shares: np.ndarray) -> float:
@@ -227,17 +245,18 @@ def targets_for(totals: np.ndarray, shares: np.ndarray, budget: float | None = N
 
 
 def mix(
-    docs: DataFrame, labels: DataFrame, domain: Column, shares: dict[str, float], id_col: str = "doc_id", text_col: str = "text", budget: float | None = None, carry: bool = True
+    docs: DataFrame, labels: DataFrame, domain: Column, shares: dict[str, float], id_col: str = "doc_id", text_col: str = "text", budget: float | None = None
 ) -> tuple[DataFrame, dict]:
-    """``docs`` with tokens_, posterior_, rate_ and copies_ (names made longer on a clash), and a report.
+    """``docs`` without its text but with tokens_, posterior_, rate_ and copies_ (names made longer on a clash), and a report.
 
     shares: the wanted share of tokens for each domain, a value of ``domain``, a column of
     ``labels``; they are scaled to sum 1. Other domains of labels are learned too and their share
-    is 0. copies_ is the rate rounded up or down by a hash of the
-    id, so that expected copies equal rates. The report's unfilled is, by domain, what a target
-    lacks of its share of the budget. Null and empty texts have no tokens and the posterior of no
+    is 0. copies_ is the rate rounded up or down by a hash of the id, so that expected copies equal
+    rates. The report has, by domain, targets, totals, residual (expected tokens at the rates, less
+    the target) and unfilled (what a target lacks of its share of the budget), the passes and
+    whether the targets were met. Null and empty texts have no tokens and the posterior of no
     evidence. Null ids round alike. Repeated rows have equal rates. Without labels the
-    posterior is the same for all. An empty table gives no rows. Without ``carry`` the text is left out.
+    posterior is the same for all. An empty table gives no rows.
     """
     seen = labels.where(F.col(id_col).isNotNull()).select(domain.alias("domain_")).distinct().where(F.col("domain_").isNotNull())
     names = sorted({*shares, *(r["domain_"] for r in seen.collect())})  # a row for each domain
@@ -245,17 +264,33 @@ def mix(
     want = want / want.sum()
     model = learn_domains(docs, labels, domain, names, id_col, text_col)
     cols = {k: free_name(docs, f"{k}_") for k in ("tokens", "posterior", "rate", "copies")}
-    judged = with_posterior(docs, model, text_col, cols["tokens"], cols["posterior"])
-    judged = materialise(judged if carry else judged.drop(text_col), "judged")
+    judged = materialise(with_posterior(docs, model, text_col, cols["tokens"], cols["posterior"]).drop(text_col), "judged")
     sums = judged.agg(*[F.coalesce(F.sum(F.col(cols["tokens"]) * F.col(cols["posterior"])[k]), F.lit(0.0)).alias(n) for k, n in enumerate(names)]).first()
     totals = np.array([sums[n] for n in names], float)
     targets = targets_for(totals, want, budget)
     unfilled = want * (budget_for(totals, want) if budget is None else budget) - targets
-    history, step, residual = fit_rates(judged, cols["tokens"], cols["posterior"], targets)
-    rated = with_rates(judged, cols["posterior"], cols["rate"], history, step)
+    rated, residual, passes, met = fit_rates(judged, cols["tokens"], cols["posterior"], targets, cols["rate"])
     draw = F.pmod(F.xxhash64(F.col(id_col), F.lit("mix")), F.lit(1 << 40)) / float(1 << 40)
     rated = rated.withColumn(cols["copies"], F.floor(F.col(cols["rate"]) + draw).cast("int"))
-    return rated, {"columns": cols, "domains": names, "targets": targets, "totals": totals, "unfilled": unfilled, "residual": residual, "passes": len(history)}
+    return rated, {"columns": cols, "domains": names, "targets": targets, "totals": totals, "unfilled": unfilled, "residual": residual, "passes": passes, "met": met}
+
+
+def mixed(docs: DataFrame, labels: DataFrame, domain: Column, shares: dict[str, float], id_col: str = "doc_id", text_col: str = "text", budget: float | None = None) -> DataFrame:
+    """The rows of ``docs``, each as often as ``mix`` says; columns as they are.
+
+    Texts are not written: rows whose copies are not one are told by a hash of id and text and
+    joined. ``docs`` is read four times and must give the same rows each time.
+    """
+    keys = [free_name(docs, "k1_"), free_name(docs, "k2_")]
+    text = F.col(text_col).cast("binary")
+    keyed = docs.select("*", F.xxhash64(F.col(id_col), text).alias(keys[0]), F.xxhash64(F.lit("second"), F.col(id_col), text).alias(keys[1]))
+    rated, told = mix(keyed.select(id_col, text_col, *keys), labels, domain, shares, id_col, text_col, budget)
+    copies = told["columns"]["copies"]
+    while copies in docs.columns:
+        copies += "_"
+    other = rated.withColumnRenamed(told["columns"]["copies"], copies).where(F.col(copies) != 1).groupBy(*keys).agg(F.max(copies).alias(copies))
+    joined = having(keyed, materialise(other, "copies"), keys, "left").withColumn(copies, F.coalesce(copies, F.lit(1)))
+    return joined.where(F.col(copies) > 0).select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(copies))).alias(copies)).select(*docs.columns)
 
 
 def domain_of_labels() -> Column:
@@ -264,9 +299,11 @@ def domain_of_labels() -> Column:
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Posterior, rate and copies of all documents."""
+    """Posterior, rate and copies of all documents; targets and residuals by domain in each row."""
     docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
-    rated, told = mix(docs.select("doc_id", "text"), labels, domain_of_labels(), TARGETS, carry=False)
+    rated, told = mix(docs.select("doc_id", "text"), labels, domain_of_labels(), TARGETS)
     c = told["columns"]
-    each = [F.col(c["posterior"])[k].alias(f"p_{n}") for k, n in enumerate(told["domains"])]
+    each = []
+    for k, n in enumerate(told["domains"]):
+        each += [F.col(c["posterior"])[k].alias(f"p_{n}"), F.lit(float(told["targets"][k])).alias(f"target_{n}"), F.lit(float(told["residual"][k])).alias(f"residual_{n}")]
     return rated.select("doc_id", F.col(c["tokens"]).alias("tokens"), *each, F.col(c["rate"]).alias("rate"), F.col(c["copies"]).alias("copies"))

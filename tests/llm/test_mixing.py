@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from gleanworks.llm import mixing
@@ -15,16 +18,78 @@ def test_rates_match_a_plain_projected_gradient(spark):
     df = spark.createDataFrame([(int(a), b.tolist()) for a, b in zip(t, p, strict=True)], "t long, p array<double>").repartition(3)
     totals = (t[:, None] * p).sum(axis=0)
     targets = np.array([0.7, 0.25, 0.05]) * totals.sum()
-    history, step, residual = mixing.fit_rates(df, "t", "p", targets, tolerance=1e-7, passes=300)
-    assert np.abs(residual).max() <= 1e-7 * targets.sum()
-    rates = mixing.rates_of(p, history, step)[0]
-    assert (rates >= 0).all()
+    results = [mixing.fit_rates(df, "t", "p", targets, "r", tolerance=1e-7, replay=n) for n in (3, 1000)]
+    for rated, residual, _, met in results:
+        assert met and np.abs(residual).max() <= 1e-7 * targets.sum()
+    by_row = [{(x.t, *x.p): x.r for x in rated.collect()} for rated, _, _, _ in results]
+    rates = np.array([by_row[0][int(a), *b] for a, b in zip(t, p.tolist(), strict=True)])
+    assert (rates >= 0).all() and np.allclose(rates, [by_row[1][int(a), *b] for a, b in zip(t, p.tolist(), strict=True)])
     plain, rate_step = np.ones(400), 1 / np.linalg.eigvalsh((p * t[:, None]).T @ p)[-1]
     for _ in range(20_000):
         plain = np.maximum(0, plain - rate_step * (p @ ((plain * t) @ p - targets)))
     assert np.abs((plain * t) @ p - (rates * t) @ p).max() < 1e-4 * targets.sum()
-    got = sorted(x.r for x in mixing.with_rates(df, "p", "r", history, step).collect())
-    assert np.allclose(got, np.sort(rates))
+
+
+def test_targets_out_of_reach_settle_and_too_few_passes_are_an_error(spark):
+    df = spark.createDataFrame([(10, [0.9, 0.1]), (10, [0.8, 0.2])], "t long, p array<double>")
+    rated, residual, _, met = mixing.fit_rates(df, "t", "p", np.array([0.0, 20.0]), "r")
+    p, targets = np.array([[0.9, 0.1], [0.8, 0.2]]), np.array([0.0, 20.0])
+    gram = 10 * p.T @ p
+    metric = np.linalg.inv(gram + 1e-3 * np.linalg.eigvalsh(gram)[-1] * np.eye(2))
+    loss = lambda r: (10 * r @ p - targets) @ metric @ (10 * r @ p - targets)
+    best = min(loss(np.array([a, b])) for a in np.linspace(0, 12, 241) for b in np.linspace(0, 12, 241))
+    got = np.array([x.r for x in sorted(rated.collect(), key=lambda x: -x.p[0])])
+    assert not met and np.allclose(10 * got @ p - targets, residual) and loss(got) <= 1.01 * best
+    with pytest.raises(RuntimeError):
+        mixing.fit_rates(df, "t", "p", np.array([0.0, 20.0]), "r", passes=3)
+
+
+def plain_posterior(model, text):
+    """The classifier's posterior by loops over words."""
+    found = (text or "").encode().lower().split()
+    k, sums, top = len(model.names), [0.0] * len(model.names), [None] * len(model.names)
+    for w in found:
+        if w in model.weights:
+            for d in range(k):
+                sums[d] += model.weights[w][d] / len(found)
+                top[d] = model.weights[w][d] if top[d] is None else max(top[d], model.weights[w][d])
+    x = [*sums, *[v or 0.0 for v in top]]
+    z = [sum((x[i] - model.centre[i]) / model.scale[i] * model.curve[i][d] for i in range(2 * k)) + model.curve[-1][d] for d in range(k)]
+    e = [math.exp(v - max(z)) for v in z]
+    return len(found), [v / sum(e) for v in e]
+
+
+def test_whole_query_against_plain_code(spark, sf_dir):
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    names = ["q0t0", "q0t1", "q1t0", "q1t1"]
+    model = mixing.learn_domains(docs, labels, mixing.domain_of_labels(), names)
+    got = {r.doc_id: r for r in mixing.op7_mixing(spark, sf_dir).collect()}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert set(got) == set(texts)
+    totals, at_rates = np.zeros(4), np.zeros(4)
+    for i, t in texts.items():
+        n, p = plain_posterior(model, t)
+        assert got[i].tokens == n and np.allclose([got[i][f"p_{x}"] for x in names], p, atol=1e-9)
+        assert got[i].rate >= 0 and got[i].copies in (math.floor(got[i].rate), math.floor(got[i].rate) + 1)
+        totals += n * np.array(p)
+        at_rates += got[i].rate * n * np.array(p)
+    want = np.array([mixing.TARGETS[x] for x in names]) / sum(mixing.TARGETS.values())
+    targets = np.minimum(want * totals[2] / want[2], totals)
+    any_row = next(iter(got.values()))
+    assert np.allclose([any_row[f"target_{x}"] for x in names], targets, rtol=1e-9)
+    assert np.allclose([any_row[f"residual_{x}"] for x in names], at_rates - targets, atol=1e-6 * targets.sum())
+    assert np.abs(at_rates - targets).max() <= mixing.TOLERANCE * targets.sum()
+
+
+def test_mixed_rows_are_repeated_as_told(spark):
+    r = np.random.default_rng(9)
+    rows = [(k % 90 if k else None, " ".join(f"{'bad' if k % 3 == 0 else 'w'}{x}" for x in r.integers(0, 60, 20)), k, "c") for k in range(300)] + [(5, None, 1, "d"), (5, None, 2, "d")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, copies_ int, col string")
+    labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(90)], "doc_id long, toxic int")
+    told, _ = mixing.mix(docs, labels, F.col("toxic").cast("string"), {"0": 0.95, "1": 0.05})
+    want = sorted(repr((x.doc_id, x.copies_, x.col)) for x in told.collect() for _ in range(x.copies__))
+    got = mixing.mixed(docs, labels, F.col("toxic").cast("string"), {"0": 0.95, "1": 0.05})
+    assert got.columns == docs.columns and sorted(repr((x.doc_id, x.copies_, x.col)) for x in got.collect()) == want
 
 
 def test_query_meets_targets_and_labels(spark):
