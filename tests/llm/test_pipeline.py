@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from gleanworks.llm import packing, quality, secrets
 from gleanworks.llm.common import scratch_path
@@ -50,6 +52,21 @@ def test_run_on_the_smallest_tables(spark, sf_dir):
     assert corpus_pipeline.run(spark, sf_dir).count() > 0
 
 
+def test_odd_documents_pass_all_stages(spark, sf_dir, tmp_path):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumn("score_", F.lit(7)).withColumn("copies_", F.lit("x")).withColumn("k1_", F.lit(1)).withColumn("gid", F.lit(2))
+    odd = [(None, None, None, None, None), (None, "", "en", "s", 0), (-1, "word " * 40_000, "en", None, 3), (-1, "word " * 40_000, "en", None, 3)]
+    odd = spark.createDataFrame([(*x, 7, "x", 1, 2) for x in odd], docs.schema)
+    for some in (docs.unionByName(odd), odd, docs.limit(0)):
+        held, path = some, None
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            path = f"{tmp_path}/{some.count()}-{name.replace(' ', '-')}"
+            stage(spark, held, sf_dir).write.parquet(path)
+            held = spark.read.parquet(path)
+            assert held.columns == docs.columns
+        assert held.where("score_ <> 7 or copies_ <> 'x' or k1_ <> 1 or gid <> 2").count() == 0
+        corpus_pipeline.STAGES[-1][1](spark, held, sf_dir).count()
+
+
 def test_quality_stage_needs_both_classes(spark, tmp_path):
     docs = spark.createDataFrame([(1, "good text"), (2, None)], "doc_id long, text string")
     for name, rows in (("none", []), ("one", [(k, 1, 0) for k in range(1, 9)])):
