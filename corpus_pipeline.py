@@ -1,7 +1,7 @@
 """From raw documents to packed training sequences, in five stages.
 
 Each stage works on all rows that its predecessor kept and, but for the last, returns the columns
-of ``documents``. A stage's result is written as Parquet in the shared folder and read again by
+of ``documents``, whatever others there are. A stage's result is written as Parquet in the shared folder and read again by
 the next.
 """
 
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanworks.llm import mixing, packing, quality, secrets, similar
-from gleanworks.llm.common import scratch_path
+from gleanworks.llm.common import free_name, remove, scratch, scratch_path
 
 #: Shares of the tokens by predicted toxicity.
 TARGETS = {"0": 0.95, "1": 0.05}
@@ -23,7 +23,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     model = quality.fit(docs, labels)
     if not model.informed:
         return docs
-    return quality.score(docs, model, score_col="score_").where(F.col("score_") >= quality.THRESHOLD).drop("score_")
+    score = free_name(docs, "score_")
+    return quality.score(docs, model, score_col=score).where(F.col(score) >= quality.THRESHOLD).drop(score)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,17 +33,17 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are replaced in the texts; n_chars follows."""
+    """Secrets are replaced in the texts; n_chars, if there is one, follows."""
     clean = secrets.redact(docs)
+    if "n_chars" not in docs.columns:
+        return clean
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents are kept, dropped or repeated at the rates that give the target shares."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    rated, told = mixing.mix(docs, labels, F.col("toxic").cast("string"), TARGETS)
-    copies = told["columns"]["copies"]
-    return rated.where(F.col(copies) > 0).withColumn(copies, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*docs.columns)
+    return mixing.mixed(docs, labels, F.col("toxic").cast("string"), TARGETS)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,10 +64,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages applied to ``documents``."""
+    """The stages applied to ``documents``; a stage's result goes once the next one's is written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before: str | None = None
     for name, stage in STAGES:
         path = scratch_path(spark, name.replace(" ", "-"))
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            remove(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
