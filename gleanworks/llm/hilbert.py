@@ -8,11 +8,9 @@ on any of them. Only metadata is moved; the order is one range partitioning.
 
 from __future__ import annotations
 
-import bisect
-
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, NumericType
 
@@ -55,41 +53,74 @@ def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
     return out
 
 
-def _ordinal(df: DataFrame, name: str) -> Column:
-    """A double that keeps the order of the column: numbers as they are, the first 6 bytes of others."""
-    kind = df.schema[name].dataType
-    if isinstance(kind, NumericType):
-        return F.col(name).cast("double")
-    body = F.col(name) if isinstance(kind, BinaryType) else F.col(name).cast("string").cast("binary")
-    return F.conv(F.rpad(F.hex(F.substring(body, 1, 6)), 12, "0"), 16, 10).cast("double")
+def _cuts(df: DataFrame, name: str, bits: int) -> list[str] | list[float]:
+    """At most 2**bits cut points of equal depth, whole values of the column; NaN and nulls apart.
+
+    A common value is several cut points, so that a value's cell tells the share of rows below it.
+
+    Numbers are cut at approximate quantiles. Others are counted by value, which combines hot
+    values before the shuffle, and the distinct values, in order, are cut where their running count
+    passes a share of the rows: sums by range partition, of which the driver reads one each and the
+    values at the cuts.
+    """
+    share = [k / 2**bits for k in range(1, 2**bits)]
+    if isinstance(df.schema[name].dataType, NumericType):
+        v = F.col(name).cast("double")
+        return sorted(df.agg(F.percentile_approx(F.when(~F.isnan(v), v), share, 1000).alias("c")).first()["c"] or [])
+    counts = df.where(F.col(name).isNotNull()).groupBy(_key(df, name).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    placed = materialise(counts.repartitionByRange("v").sortWithinPartitions("v").withColumn("part", F.spark_partition_id()), "values")
+    parts = sorted((r["part"], r["n"]) for r in placed.groupBy("part").agg(F.sum("n").alias("n")).collect())  # a row for each partition
+    total, low, before = sum(n for _, n in parts), 0, []
+    for part, n in parts:
+        before.append((part, low))
+        low += n
+    if not total:
+        return []
+    start = F.create_map(*[F.lit(x) for pair in before for x in pair])[F.col("part")]
+    upto = F.sum("n").over(Window.partitionBy("part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)) + start
+    # A value is a cut for each share of the rows that ends in it, and values after it are over it.
+    cell = lambda rows: F.floor(rows * float(2**bits) / total).cast("int")
+    ends = placed.withColumn("upto", upto).select("v", (cell(F.col("upto")) - cell(F.col("upto") - F.col("n"))).alias("times")).where("times > 0")
+    return sorted(v for r in ends.collect() for v in [r["v"]] * r["times"])  # 2**bits at most
+
+
+def _key(df: DataFrame, name: str) -> Column:
+    """A string that keeps the order of the column's bytes."""
+    return F.hex(F.col(name) if isinstance(df.schema[name].dataType, BinaryType) else F.col(name).cast("string").cast("binary"))
 
 
 def with_hilbert(df: DataFrame, dims: list[str], index: str, bits: int = BITS) -> DataFrame:
     """``df`` with its place on the Hilbert curve over ``dims``; nulls and NaN are in the lowest cell.
 
-    Cut points are approximate quantiles over all rows, at most 2**bits - 1 for each dimension;
-    equal ones merge, so that a very common value has one cell. A dimension that isn't a column
-    of ``df``, or one without values, has a single cell.
+    Cut points are of equal depth over all rows and whole values, at most 2**bits for each
+    dimension; a value has one cell however common it is, and strings with a long common prefix
+    are told apart. A dimension that isn't a column of ``df``, or one without values, has a single cell.
     """
     dims = [d for d in dims if d in df.columns] or [df.columns[0]]
     bits = min(bits, 62 // len(dims))
-    at = [free_name(df, f"dim{k}_") for k in range(len(dims))]
-    wide = df.select("*", *[_ordinal(df, d).alias(a) for d, a in zip(dims, at, strict=True)])
-    share = [k / 2**bits for k in range(1, 2**bits)]
-    cuts = wide.agg(*[F.percentile_approx(F.when(~F.isnan(a), F.col(a)), share, 1000).alias(a) for a in at]).first()
-    edges = [sorted(set(cuts[a] or [])) for a in at]
-    curve = _curve_udf(edges, bits)
-    return wide.withColumn(index, curve(*[F.col(a) for a in at])).drop(*at)
-
-
-def _curve_udf(edges: list[list[float]], bits: int):
+    cells = []
+    for d in dims:
+        cuts = _cuts(df, d, bits)
+        if isinstance(df.schema[d].dataType, NumericType):
+            v, above = F.col(d).cast("double"), [F.lit(float(c)) for c in cuts]
+            cells.append(_passed(v, above, bits, lambda x, c: x >= c, F.isnan(v) | v.isNull()))
+        else:
+            cells.append(_passed(_key(df, d), [F.lit(c) for c in cuts], bits, lambda x, c: x > c, F.col(d).isNull()))
+    return df.withColumn(index, _curve_udf(bits)(*cells))
+
+
+def _passed(value: Column, cuts: list[Column], bits: int, over, none: Column) -> Column:  # noqa: ANN001
+    """The number of ``cuts`` that the value is over, at most 2**bits - 1; 0 where ``none``."""
+    if not cuts:
+        return F.lit(0).cast("long")
+    n = F.size(F.filter(F.array(*cuts), lambda c: over(value, c)))  # at most 2**bits comparisons
+    return F.when(none, 0).otherwise(F.least(n, F.lit(2**bits - 1))).cast("long")
+
+
+def _curve_udf(bits: int):
     @F.pandas_udf("long")
-    def curve(*columns: pd.Series) -> pd.Series:
-        cells = []
-        for column, cut in zip(columns, edges, strict=True):
-            v = column.to_numpy(dtype=np.float64, na_value=np.nan)
-            cells.append(np.where(np.isnan(v), 0, np.searchsorted(np.array(cut), v, side="right")))
-        return pd.Series(hilbert_index(np.stack(cells, axis=1), bits))
+    def curve(*cells: pd.Series) -> pd.Series:
+        return pd.Series(hilbert_index(np.stack([c.to_numpy(dtype=np.int64) for c in cells], axis=1), bits))
 
     return curve
 
@@ -120,24 +151,21 @@ def hilbert_shards(
     return out.select(F.col("id_").alias(id_col), "size", "text_crc32", "curve", "shard", "slot")
 
 
-def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, dims: tuple[str, ...] = DIMENSIONS, id_col: str = "doc_id", bits: int = BITS) -> None:
+def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, dims: tuple[str, ...] = DIMENSIONS, id_col: str = "doc_id", bits: int = BITS, salts: int = 64) -> None:
     """Write whole rows in curve order, a folder for each run, for pruning by file statistics.
 
-    Here the text moves with the row: one range partitioning by curve index, cut at the indices
-    where runs begin; rows with one index stay in one run.
+    Here the text moves with the row: one range partitioning by curve index and, as very many rows
+    may have one index, by a hash of the row in ``salts`` values, cut where runs begin.
     """
-    index, run = free_name(docs, "curve_"), free_name(docs, "shard_")
+    index, run, salt = free_name(docs, "curve_"), free_name(docs, "shard_"), free_name(docs, "salt_")
     placed = with_hilbert(docs, [d for d in dims if d != id_col], index, bits)
+    place = F.col(index) * salts + F.col(salt)
+    placed = placed.withColumn(salt, F.pmod(F.xxhash64(*docs.columns), F.lit(salts)))
     share = [k / shards for k in range(1, shards)]
-    cuts = placed.agg(F.percentile_approx(index, share, 10000).alias("c")).first()["c"] or []
-    starts = sorted(set(cuts))
-
-    @F.pandas_udf("int")
-    def run_of(v: pd.Series) -> pd.Series:
-        return v.map(lambda x: bisect.bisect_right(starts, x)).astype("int32")
-
-    marked = placed.withColumn(run, run_of(index))
-    marked.repartitionByRange(shards, run, index).sortWithinPartitions(run, index).drop(index).write.partitionBy(run).parquet(path)
+    starts = sorted(set(placed.agg(F.percentile_approx(place, share, 10000).alias("c")).first()["c"] or []))
+    number = F.size(F.filter(F.array(*[F.lit(x) for x in starts]), lambda c: place >= c)) if starts else F.lit(0)
+    marked = placed.withColumn(run, number.cast("int"))
+    marked.repartitionByRange(shards, run, index, salt).sortWithinPartitions(run, index, salt).drop(index, salt).write.partitionBy(run).parquet(path)
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
