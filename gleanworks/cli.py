@@ -10,17 +10,20 @@ import os
 import sys
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from gleanworks.operators import enrich, sinks
 from gleanworks.plans.crawl import Options, collect
+from gleanworks.schemas import GAME_KEY, NAME_COLUMN, SCHOOL_KEY
 from gleanworks.sources.tables import read_csv, read_json_array
+from gleanworks.storage import exists
 
 
 def crawl(spark: SparkSession, pages: str, out: str, options: Options, best_effort=()) -> tuple[int, int]:
     """Collect into the store under ``out`` and export it; ``best_effort`` steps may fail without harm."""
     schools, games = collect(spark, spark.read.parquet(pages), options)
-    sinks.write_table(schools, f"{out}/store/schools")
-    sinks.write_table(games, f"{out}/store/games")
+    sinks.write_table(schools, f"{out}/store/schools", SCHOOL_KEY)
+    sinks.write_table(games, f"{out}/store/games", GAME_KEY if set(GAME_KEY) <= set(games.columns) else None)
     counts = sinks.export(spark, f"{out}/store", out)
     for step in best_effort:
         try:
@@ -51,10 +54,14 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--levels", default="Varsity")
     c.add_argument("--no-schedules", action="store_true")
     c.add_argument("--no-discover", action="store_true")
-    for name in ("tickets", "network"):
+    for name in ("tickets", "verified", "network"):
         e = sub.add_parser(name)
         e.add_argument("csv")
         e.add_argument("catalog")
+        if name != "network":
+            e.add_argument("--detail", help="JSON array of huddleId, city, zipCode")
+        if name == "verified":
+            e.add_argument("--status", required=True, help="Parquet table of url, status")
     e = sub.add_parser("names")
     e.add_argument("csv")
     e.add_argument("pages")
@@ -67,18 +74,25 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     a = parser().parse_args(argv)
     spark = spark or SparkSession.builder.getOrCreate()
-    if a.what in ("tickets", "network", "names"):
+    if a.what in ("tickets", "verified", "network", "names"):
         if not os.path.exists(a.csv):
             print(f"no such file: {a.csv}", file=sys.stderr)
             return 1
         if a.what == "names":
             enrich_csv(spark, a.csv, lambda rows: enrich.add_site_name(rows, spark.read.parquet(a.pages)))
-        elif not sinks.exists(spark, a.catalog):
+        elif not exists(spark, a.catalog):
             print("the catalog is incomplete; CSV not modified", file=sys.stderr)
             return 3
-        elif a.what == "tickets":
+        elif a.what != "network":
+            if not a.detail or not exists(spark, a.detail):
+                print("places of the catalog's schools are needed (--detail): without them any school of a name would match; CSV not modified", file=sys.stderr)
+                return 3
             cat = read_json_array(spark, a.catalog, "huddleId string, name string, state string").withColumnRenamed("huddleId", "id")
-            enrich_csv(spark, a.csv, lambda rows: enrich.add_tickets(rows, cat))
+            detail = read_json_array(spark, a.detail, "huddleId string, city string, zipCode string").selectExpr("huddleId as id", "city", "zipCode as zip_code")
+            if a.what == "tickets":
+                enrich_csv(spark, a.csv, lambda rows: enrich.add_tickets(rows, cat, detail))
+            else:
+                enrich_csv(spark, a.csv, lambda rows: enrich.add_verified_ticket(rows if NAME_COLUMN in rows.columns else rows.withColumn(NAME_COLUMN, F.lit("")), cat, spark.read.parquet(a.status), detail))
         else:
             cat = read_json_array(spark, a.catalog, "slug string, name string, city string, state_code string, gofan_id string")
             enrich_csv(spark, a.csv, lambda rows: enrich.add_network(rows, cat))

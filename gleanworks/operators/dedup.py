@@ -46,6 +46,6 @@ def changed(old: DataFrame, new: DataFrame) -> DataFrame:
     return new.exceptAll(old)
 
 
-def upsert(table: DataFrame, updates: DataFrame, keys: list[str], seq: str) -> DataFrame:
-    """``table`` with ``updates`` applied by ``seq``; columns of ``table``."""
-    return last_wins(table.unionByName(updates.select(*table.columns)), keys, F.col(seq))
+def unseen(rows: DataFrame, seen: DataFrame, key: str) -> DataFrame:
+    """The rows whose ``key`` is not among those of ``seen``; a null key never is."""
+    return rows.join(seen.select(key), key, "left_anti")

@@ -7,6 +7,9 @@ import itertools
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleanworks.operators.dedup import unseen
+from gleanworks.storage import ensure_checkpoints
+
 #: Sources of a page in order of preference at equal depth.
 SOURCES = ("directory", "nearby", "opponent")
 
@@ -21,11 +24,7 @@ def expand(seeds: DataFrame, edges: DataFrame, scope: Column | None = None, max_
     Rounds go on until nothing new is reached; more than ``max_rounds``, if given, are an error.
     """
     spark = seeds.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        import tempfile
-
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(named or "file://" + tempfile.mkdtemp(prefix="gleanworks-"))
+    ensure_checkpoints(spark)
     rank = F.coalesce(F.array_position(F.array(*[F.lit(s) for s in SOURCES]), F.substring_index(F.col("via"), ":", 1)), F.lit(9))
     best = lambda df, depth: df.where(F.col("id").isNotNull()).groupBy("id").agg(F.min(F.struct(rank.alias("r"), "via")).alias("b")).select("id", F.lit(depth).alias("depth"), F.col("b.via").alias("via"))
     steps = edges.where(F.col("dst").isNotNull()) if scope is None else edges.where(F.col("dst").isNotNull() & scope)
@@ -33,7 +32,7 @@ def expand(seeds: DataFrame, edges: DataFrame, scope: Column | None = None, max_
     visited = frontier = best(seeds, 0).checkpoint()
     for depth in itertools.count(1):
         reached = frontier.select(F.col("id").alias("src")).join(steps, "src").select(F.col("dst").alias("id"), "via")
-        frontier = best(reached, depth).join(visited.select("id"), "id", "left_anti").checkpoint()
+        frontier = unseen(best(reached, depth), visited, "id").checkpoint()
         if not frontier.head(1):
             break
         if max_rounds is not None and depth > max_rounds:

@@ -8,7 +8,7 @@ name; state and a shared word; state and a length that the similarity allows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleanworks.functions import text as X
@@ -36,17 +36,37 @@ def _closest(keys: DataFrame, cat: DataFrame, cutoff: float) -> DataFrame:
     return keys.join(best.select("st", "n", (-F.col("b.p")).alias("pos")), ["st", "n"])
 
 
+def _subset_pairs(keys: DataFrame, cat: DataFrame) -> DataFrame:
+    """Pairs of which one's set of words holds the other's: the key, nw, nc and the catalog row."""
+    words = lambda c: F.filter(F.array_distinct(F.split(c, " ")), lambda w: w != "")
+    row_words = keys.withColumn("w", words(F.col("n"))).withColumn("nw", F.size("w"))
+    cat_words = cat.withColumn("cw", words(F.col("norm"))).withColumn("nc", F.size("cw"))
+    shared = row_words.select(*_KEY, "nw", F.explode("w").alias("word")).join(cat_words.select("st", "pos", "id", "city", "zip", "nc", F.explode("cw").alias("word")), ["st", "word"])
+    near = shared.groupBy(*_KEY, "nw", "pos", "id", "city", "zip", "nc").count()
+    return near.where((F.col("count") == F.col("nw")) | (F.col("count") == F.col("nc")))
+
+
+def candidate_ids(rows: DataFrame, catalog: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
+    """``id`` of the catalog rows whose place ``match_tickets`` may have to compare, by any tier."""
+    cat = catalog.select("pos", F.col("id").cast("string").alias("id"), F.upper(X.nz(F.col("state"))).alias("st"), X.normalize_name(F.col("name")).alias("norm"), F.lit("").alias("city"), F.lit("").alias("zip"))
+    keys = _open(rows)
+    exact = keys.join(cat.withColumnRenamed("norm", "n"), ["st", "n"])
+    left = keys.join(exact.select(*_KEY), _KEY, "left_anti")
+    found = exact.select("id").unionAll(_subset_pairs(left, cat).select("id")).unionAll(_closest(left, cat, cutoff).join(cat, ["st", "pos"]).select("id"))
+    return found.where(X.nz(F.col("id")) != "").distinct()
+
+
 def match_tickets(rows: DataFrame, catalog: DataFrame, detail: DataFrame | None = None, cutoff: float = CUTOFF) -> DataFrame:
     """``rows`` (name, state, city, zip_code) with ``match_id`` and ``match_kind``.
 
-    catalog: pos, id, name, state; detail: id, city, zip_code. A missing detail bears out any row.
+    catalog: pos, id, name, state; detail: id, city, zip_code. A missing detail bears out any row; of several for an id the least counts.
     Exact names come first: if there are any and none agrees in place, the row is ``none``. Then
     word sets of which one holds the other, by the fewest words apart; a row of one word needs a
     real agreement in place. Then the one most similar name. Both of these are ``fuzzy``.
     """
     cat = catalog.select("pos", F.col("id").cast("string").alias("id"), F.upper(X.nz(F.col("state"))).alias("st"), X.normalize_name(F.col("name")).alias("norm"))
     if detail is not None:
-        place = detail.select(F.col("id").cast("string").alias("id"), "city", "zip_code").groupBy("id").agg(F.first("city").alias("city"), F.first("zip_code").alias("zip"))
+        place = detail.select(F.col("id").cast("string").alias("id"), "city", "zip_code").groupBy("id").agg(F.min(F.struct("city", "zip_code")).alias("d")).select("id", "d.city", F.col("d.zip_code").alias("zip"))
         cat = cat.join(place, "id", "left")
     else:
         cat = cat.withColumn("city", F.lit("")).withColumn("zip", F.lit(""))
@@ -54,11 +74,7 @@ def match_tickets(rows: DataFrame, catalog: DataFrame, detail: DataFrame | None
     keys = _open(rows)
     exact = keys.join(cat.withColumnRenamed("norm", "n"), ["st", "n"]).groupBy(*_KEY).agg(F.min_by(F.when(ok(F.lit(False)), F.col("id")), F.when(ok(F.lit(False)), F.col("pos"))).alias("id"))
     left = keys.join(exact, _KEY, "left_anti")
-    words = lambda c: F.filter(F.array_distinct(F.split(c, " ")), lambda w: w != "")
-    row_words = left.withColumn("w", words(F.col("n"))).withColumn("nw", F.size("w"))
-    cat_words = cat.withColumn("cw", words(F.col("norm"))).withColumn("nc", F.size("cw"))
-    shared = row_words.select(*_KEY, "nw", F.explode("w").alias("word")).join(cat_words.select("st", "pos", "id", "city", "zip", "nc", F.explode("cw").alias("word")), ["st", "word"])
-    near = shared.groupBy(*_KEY, "nw", "pos", "id", "city", "zip", "nc").count().where((F.col("count") == F.col("nw")) | (F.col("count") == F.col("nc")))
+    near = _subset_pairs(left, cat)
     near = near.where(ok(F.col("nw") < 2))
     subset = near.groupBy(*_KEY).agg(F.min_by("id", F.struct(F.abs(F.col("nc") - F.col("nw")), "pos")).alias("id"))
     rest = left.join(subset, _KEY, "left_anti")
@@ -103,8 +119,3 @@ def match_twice(rows: DataFrame, catalog: DataFrame, detail: DataFrame | None =
     second = F.when(F.col("match_id").isNotNull(), F.when((own != "") & (own == name), "original").otherwise("name"))
     both = both.withColumn("match_source", F.when(F.col("id1_").isNotNull(), "original").otherwise(second))
     return both.withColumn("match_kind", F.when(F.col("id1_").isNotNull(), F.col("kind1_")).otherwise(F.col("match_kind"))).withColumn("match_id", F.coalesce("id1_", "match_id")).drop("id1_", "kind1_")
-
-
-def top_by(df: DataFrame, keys: list[str], *order) -> DataFrame:
-    """The first row of each key in ``order``."""
-    return df.withColumn("rn_", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("rn_ = 1").drop("rn_")

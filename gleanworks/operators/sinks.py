@@ -1,46 +1,35 @@
 """Table and export sinks.
 
-Canonical tables are Parquet; CSV and JSON are derived from them. An overwrite goes to a fresh
-folder that then takes the old one's place, so that what is being read is never overwritten and a
-crash leaves the old table.
+Canonical tables are Parquet. A table's folder holds versions and a small file that says which
+folders make it up, one for each of a fixed number of buckets by a hash of the key. A commit writes
+a new version and then swaps that file in one step, so readers see the old table or the new one and
+a crash leaves the old one; an upsert writes only the buckets that it touches. CSV and JSON are
+derived from tables; a CSV overwrite is made in a fresh folder that is renamed, between which and
+the removal of the old one a reader may find none.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanworks.functions import text as X
 from gleanworks.operators.dedup import last_wins
 from gleanworks.schemas import GAME_FIELDS, GAME_KEY, GAMES, SCHOOL_FIELDS, SCHOOL_KEY, SCHOOLS
+from gleanworks.storage import exists, file_system, read_text, remove, write_text
 
 CSV = {"header": True, "escape": '"', "emptyValue": "", "nullValue": "", "multiLine": True}
-COMMIT_EVERY = 100
-
-
-def _fs(spark: SparkSession, path: str):
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    at = hadoop(path)
-    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    fs, hadoop = _fs(spark, path)
-    return fs.exists(hadoop(path))
-
-
-def remove(spark: SparkSession, path: str) -> bool:
-    """Delete a file or folder; false if there was none."""
-    fs, hadoop = _fs(spark, path)
-    return fs.delete(hadoop(path), True)
+BUCKETS = 64
+_CURRENT = "current.json"
 
 
 def replace(df: DataFrame, path: str, write) -> None:
-    """``write(df, folder)`` to a fresh folder, then swap it in for ``path``."""
+    """``write(df, folder)`` to a fresh folder, then rename it to ``path``."""
     spark = df.sparkSession
-    fs, hadoop = _fs(spark, path)
+    fs, hadoop = file_system(spark, path)
     new, old = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}", f"{path.rstrip('/')}.old-{uuid.uuid4().hex}"
     write(df, new)
     if fs.exists(hadoop(path)):
@@ -49,15 +38,78 @@ def replace(df: DataFrame, path: str, write) -> None:
     fs.delete(hadoop(old), True)
 
 
-def write_table(df: DataFrame, path: str) -> None:
-    replace(df, path, lambda d, p: d.write.parquet(p))
+def has_table(spark: SparkSession, path: str) -> bool:
+    return exists(spark, f"{path}/{_CURRENT}")
+
+
+def _state(spark: SparkSession, path: str) -> dict:
+    return json.loads(read_text(spark, f"{path}/{_CURRENT}")) if has_table(spark, path) else {"parts": {}, "schema": None, "stale": []}
+
+
+def _read(spark: SparkSession, path: str, state: dict, buckets: list[str] | None = None) -> DataFrame:
+    from pyspark.sql.types import StructType
+
+    schema = StructType.fromJson(state["schema"])
+    folders = sorted({f for b, f in state["parts"].items() if buckets is None or b in buckets})
+    return spark.read.schema(schema).parquet(*[f"{path}/{f}" for f in folders]) if folders else spark.createDataFrame([], schema)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The table's current version; FileNotFoundError if there is none."""
+    if not has_table(spark, path):
+        raise FileNotFoundError(f"no table at {path}")
+    return _read(spark, path, _state(spark, path))
+
+
+def _commit(df: DataFrame, path: str, bucket: Column, before: dict, touched: list[str] | None) -> None:
+    """Write ``df`` as the new content of the ``touched`` buckets (all, if None) and make it current."""
+    spark, version = df.sparkSession, f"v-{uuid.uuid4().hex}"
+    df.withColumn("bucket_", bucket).repartition("bucket_").write.partitionBy("bucket_").parquet(f"{path}/{version}")
+    fs, hadoop = file_system(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(hadoop(f"{path}/{version}"))]
+    made = {n.removeprefix("bucket_="): f"{version}/{n}" for n in names if n.startswith("bucket_=")}
+    kept = {} if touched is None else {b: f for b, f in before["parts"].items() if b not in touched}
+    gone = [f for b, f in before["parts"].items() if b not in kept]
+    state = {"parts": kept | made, "schema": df.schema.jsonValue(), "stale": gone}
+    write_text(spark, f"{path}/{_CURRENT}", [json.dumps(state)])
+    for folder in before["stale"]:  # what the version before replaced; its readers had a version's time
+        remove(spark, f"{path}/{folder}")
+
+
+def _bucket(keys: list[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int") if keys else F.lit(0)
+
+
+def write_table(df: DataFrame, path: str, keys: list[str] | None = None) -> None:
+    """Replace the table at ``path``; ``keys`` put rows into buckets, for later upserts by them."""
+    _commit(df, path, _bucket(keys or []), _state(df.sparkSession, path), None)
+
+
+def append_table(df: DataFrame, path: str) -> None:
+    """Add rows to a table without keys, in one commit."""
+    spark = df.sparkSession
+    before = _state(spark, path)
+    version = f"v-{uuid.uuid4().hex}"
+    df.write.parquet(f"{path}/{version}")
+    write_text(spark, f"{path}/{_CURRENT}", [json.dumps(before | {"parts": before["parts"] | {version: version}, "schema": df.schema.jsonValue()})])
 
 
 def upsert_table(updates: DataFrame, path: str, keys: list[str], seq: str) -> None:
-    """Apply ``updates`` to the table at ``path``, the latest ``seq`` of a key winning."""
+    """Apply ``updates`` to the table at ``path``, the latest ``seq`` of a key winning.
+
+    The table must have been made by upserts with these keys, or by ``write_table`` with them. Only
+    the buckets of the updates' keys are read and written. Columns that one side lacks are null.
+    """
     spark = updates.sparkSession
-    both = spark.read.parquet(path).unionByName(updates, allowMissingColumns=True) if exists(spark, path) else updates
-    write_table(last_wins(both, keys, F.col(seq)), path)
+    before = _state(spark, path)
+    bucket = _bucket(keys)
+    touched = [str(r["b"]) for r in updates.select(bucket.alias("b")).distinct().collect()]  # BUCKETS at most
+    if not touched and before["schema"]:
+        return
+    both = updates
+    if before["schema"]:
+        both = _read(spark, path, before, touched).unionByName(updates, allowMissingColumns=True)
+    _commit(last_wins(both, keys, F.col(seq)), path, bucket, before, touched)
 
 
 def flat(df: DataFrame, fields: list[str]) -> DataFrame:
@@ -76,28 +128,33 @@ def write_csv(df: DataFrame, path: str, fields: list[str], mode: str = "overwrit
 
 
 def write_json_array(df: DataFrame, path: str, order: list[str] | None = None) -> int:
-    """One local file with a JSON array, an object to a line; rows are streamed, nulls and lists kept."""
+    """One file with a JSON array, an object to a line; rows are streamed, nulls and lists kept."""
     rows = (df.orderBy(*order) if order else df).select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("j"))
     n = 0
-    with open(path, "w", encoding="utf-8") as out:
-        out.write("[")
-        for n, row in enumerate(rows.toLocalIterator(), 1):
-            out.write(("\n  " if n == 1 else ",\n  ") + row["j"])
-        out.write("\n]\n" if n else "]\n")
+
+    def lines():
+        nonlocal n
+        yield "["
+        for row in rows.toLocalIterator():
+            n += 1
+            yield ("\n  " if n == 1 else ",\n  ") + row["j"]
+        yield "\n]\n" if n else "]\n"
+
+    write_text(df.sparkSession, path, lines())
     return n
 
 
 def export(spark: SparkSession, store: str, out: str) -> tuple[int, int]:
     """Rebuild CSV and JSON of both tables from the store; FileNotFoundError if there is none."""
     counts = []
-    if not any(exists(spark, f"{store}/{t}") for t in ("schools", "games")):
+    if not any(has_table(spark, f"{store}/{t}") for t in ("schools", "games")):
         raise FileNotFoundError(f"no tables at {store}")
     for table, fields, name in (("schools", SCHOOL_FIELDS, "schools"), ("games", GAME_FIELDS, "schedule")):
-        df = spark.read.parquet(f"{store}/{table}") if exists(spark, f"{store}/{table}") else spark.createDataFrame([], SCHOOLS if table == "schools" else GAMES)
+        df = read_table(spark, f"{store}/{table}") if has_table(spark, f"{store}/{table}") else spark.createDataFrame([], SCHOOLS if table == "schools" else GAMES)
         write_csv(df, f"{out}/{name}.csv", fields)
         cells = flat(df, fields)
         cells = cells.withColumn("sports", X.unjoined(F.col("sports"))) if "sports" in fields else cells
-        counts.append(write_json_array(cells, f"{out}/{name}.json".removeprefix("file://")))
+        counts.append(write_json_array(cells, f"{out}/{name}.json"))
     return counts[0], counts[1]
 
 

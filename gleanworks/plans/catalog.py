@@ -9,7 +9,11 @@ from pyspark.sql import functions as F
 
 from gleanworks.functions import html as H
 from gleanworks.functions import text as X
-from gleanworks.operators import dedup, enrich, graph, match
+from gleanworks.operators import dedup, enrich, extract, graph, match, sinks
+from gleanworks.schemas import VERIFIED_COLUMN
+from gleanworks.sources import tables
+from gleanworks.storage import fresh
+from gleanworks.streaming import upsert
 
 Query = Callable[[SparkSession, str], DataFrame]
 _FOUND: dict[str, tuple[Query, str | None]] = {}
@@ -113,14 +117,16 @@ def changed_rows(spark, d):
 
 @_query("SELECT c_custkey, c_nationkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT')")
 def anti_unserved(spark, d):
-    o = _t(spark, d, "orders").where(F.col("o_orderpriority") == "1-URGENT")
-    return _t(spark, d, "customer").join(o, F.col("o_custkey") == F.col("c_custkey"), "left_anti").select("c_custkey", "c_nationkey")
+    o = _t(spark, d, "orders").where(F.col("o_orderpriority") == "1-URGENT").select(F.col("o_custkey").alias("c_custkey"))
+    return dedup.unseen(_t(spark, d, "customer").select("c_custkey", "c_nationkey"), o, "c_custkey")
 
 
-@_query("SELECT s_suppkey, s_nationkey FROM supplier WHERE s_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey = 1)")
+@_query("SELECT s_suppkey, s_nationkey FROM supplier WHERE s_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey = 1) AND s_suppkey % 4 <> 0")
 def scope_semi(spark, d):
-    n = _t(spark, d, "nation").where("n_regionkey = 1")
-    return _t(spark, d, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey"), "left_semi").select("s_suppkey", "s_nationkey")
+    codes = [f"n{r.n_nationkey}" for r in _t(spark, d, "nation").where("n_regionkey = 1").collect()]  # some of 25 rows
+    tail = F.when(F.col("s_suppkey") % 4 == 0, "/city/").otherwise("/city/school/x")  # two segments are too few
+    url = F.concat(F.lit("https://x.org/N"), F.col("s_nationkey").cast("string"), tail)
+    return _t(spark, d, "supplier").where(X.in_scope(url, "https://x.org", codes)).select("s_suppkey", "s_nationkey")
 
 
 @_query("""WITH RECURSIVE e AS (SELECT DISTINCT a.l_suppkey AS src, b.l_suppkey AS dst FROM lineitem a JOIN lineitem b USING (l_orderkey)
@@ -300,30 +306,118 @@ def page_title_h1(spark, d):
 
 @_query(r"SELECT page_id, regexp_extract(html, '(?s)<script[^>]*>(.*?)</script>', 1) AS script FROM pages")
 def embedded_script(spark, d):
-    return _t(spark, d, "pages").select("page_id", F.regexp_extract("html", r"(?s)<script[^>]*>(.*?)</script>", 1).alias("script"))
+    marked = F.regexp_replace("html", "<script", '<script id="__NEXT_DATA__" x="y"')
+    return _t(spark, d, "pages").select("page_id", H.embedded(marked).alias("script"))
 
 
-@_query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
+@_query("SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN json_extract_string(props, '$.k') END AS k FROM events")
 def json_field(spark, d):
-    return _t(spark, d, "events").select("event_id", F.from_json("props", "k string")["k"].cast("long").alias("k"))
+    body = F.concat(F.lit('{"props":{"pageProps":{"schoolContext":{"schoolId":'), F.coalesce(F.get_json_object("props", "$.k"), F.lit("null")), F.when(F.col("event_id") % 7 == 0, "").otherwise("}}}}"))
+    pages = _t(spark, d, "events").select("event_id", F.concat(F.lit('<p><script id="__NEXT_DATA__" type="application/json">'), body, F.lit("</script>")).alias("html"))
+    return extract.with_props(pages).select("event_id", F.col("props.schoolContext.schoolId").alias("k"))
+
+
+@_query("""WITH l AS (SELECT l_orderkey, l_linenumber, l_shipmode FROM (SELECT l_orderkey, l_linenumber, l_returnflag || l_linestatus AS l_shipmode FROM lineitem)),
+i AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_shipmode) - 1 AS game_index FROM l)
+SELECT l_orderkey, CAST(game_index AS INTEGER) AS game_index, CAST(l_linenumber AS VARCHAR) AS date, 'to ' || l_shipmode AS opponent, '/s/' || l_shipmode AS href FROM i WHERE l_linenumber % 3 <> 0""")
+def schedule_rows(spark, d):
+    flags = F.concat("l_returnflag", "l_linestatus")
+    cells = F.when(F.col("l_linenumber") % 3 == 0, "").otherwise(F.concat(F.lit('<td> <a href="/s/'), flags, F.lit('">to <b>'), flags, F.lit("</b></a></td>")))
+    row = F.concat(F.lit("<tr><td>"), F.col("l_linenumber").cast("string"), F.lit("</td>"), cells, F.lit("</tr>"))
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", row.alias("r")))), lambda x: x["r"]), "")
+    pages = _t(spark, d, "lineitem").groupBy("l_orderkey").agg(body.alias("b"))
+    html = F.concat(F.lit("<table><tr><td>none</table><div><table><tr><th>Date<th>Opponent</tr><tbody>"), "b", F.lit("</tbody></table></div>"))
+    first = pages.select("l_orderkey", F.explode(H.schedule_table(html)["rows"]).alias("r"))
+    # The heading's row has no cell, and so no place.
+    return first.select("l_orderkey", F.col("r.game_index").alias("game_index"), F.col("r.cells")[0].alias("date"), F.col("r.cells")[1].alias("opponent"), F.col("r.opp_href").alias("href"))
+
+
+_JUNK_SQL = "|".join("".join("\\" + x if x in "()." else "''" if x == "'" else x for x in part) for part in X.JUNK)
+_TITLE = "CASE page_id % 3 WHEN 0 THEN 'Home | ' WHEN 1 THEN 'Error 404 - page not found: try again later - ' ELSE '' END || replace(replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&amp;', '+'), '&', '+')"
+
+
+@_query(rf"""WITH t AS (SELECT page_id, regexp_replace(trim(regexp_replace({_TITLE}, '\s+', ' ', 'g')), '(?i)^(home|welcome(\s+to)?)\b[\s:|\-–—]*', '') AS t FROM pages),
+s AS (SELECT page_id, unnest(string_split_regex(t, '\s*[|\-–—•»·:]\s*')) AS x, generate_subscripts(string_split_regex(t, '\s*[|\-–—•»·:]\s*'), 1) AS i FROM t),
+j AS (SELECT page_id, trim(x) AS x, i, regexp_matches(lower(trim(x)), '{_JUNK_SQL}') OR regexp_matches(lower(trim(x)), '^(https?://)?[\w-]+(\.[\w-]+)+(/\S*)?$') AS junk FROM s WHERE trim(x) <> '')
+SELECT page_id, x AS name FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY junk, length(x) DESC, i) AS rn FROM j) WHERE rn = 1""")
+def title_longest_segment(spark, d):
+    title = H.titles(F.replace(F.replace("html", F.lit("&amp;"), F.lit("+")), F.lit("&"), F.lit("+")))["title"]
+    k = F.col("page_id") % 3
+    lead = F.when(k == 0, "Home | ").when(k == 1, "Error 404 - page not found: try again later - ").otherwise("")
+    named = _t(spark, d, "pages").select("page_id", F.concat(lead, title).alias("t"))
+    return named.select("page_id", X.clean_title(F.col("t")).alias("name"))
 
 
-@_query(r"""WITH l AS (SELECT page_id, regexp_extract_all(html, 'href="([^"]*)"', 1) AS a FROM pages)
-SELECT page_id, i - 1 AS pos, a[i] AS href FROM l, unnest(range(1, len(a) + 1)) AS r(i)""")
-def page_links_posexplode(spark, d):
-    return _t(spark, d, "pages").select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1)))).select("page_id", _long("pos"), F.col("col").alias("href"))
+@_query("SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n FROM events GROUP BY ALL")
+def event_tumbling(spark, d):
+    return upsert.tumbling_counts(_t(spark, d, "events")).select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n")
 
 
-@_query(r"""WITH t AS (SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS t FROM pages),
-s AS (SELECT page_id, trim(x) AS x, i FROM (SELECT page_id, unnest(regexp_split_to_array(t, '\s*[|:]\s*')) AS x, generate_subscripts(regexp_split_to_array(t, '\s*[|:]\s*'), 1) AS i FROM t))
-SELECT page_id, x AS name FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY length(x) DESC, i) AS rn FROM s) WHERE rn = 1""")
-def title_longest_segment(spark, d):
-    t = F.regexp_extract("html", "<title>([^<]*)</title>", 1)
-    parts = F.transform(F.split(t, r"\s*[|:]\s*", -1), X.strip)
-    longest = F.aggregate(parts, F.lit(""), lambda a, x: F.when(F.length(x) > F.length(a), x).otherwise(a))
-    return _t(spark, d, "pages").select("page_id", longest.alias("name"))
+# Fuzzy tiers: a name with a letter more is nearest to itself, which SQL can say.
 
 
-@_query("SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n FROM events GROUP BY ALL")
-def event_tumbling(spark, d):
-    return _t(spark, d, "events").groupBy(F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz").alias("start"), "event_type").agg(F.count(F.lit(1)).alias("n"))
+
+def _apart(name: str) -> Column:
+    """The name with a digest of it, so that different names are not similar."""
+    return F.concat(name, F.lit(" "), F.md5(F.col(name).cast("binary")))
+
+
+_NEAREST = "n AS (SELECT r.key, r.city, min(c.id) AS id FROM r JOIN c ON r.st = c.st AND r.name = c.name GROUP BY r.key, r.city)"
+
+
+@_query(f"""WITH {_ROWS}, {_NEAREST} SELECT n.key, CAST(n.id AS VARCHAR) AS match_id FROM n JOIN c ON c.id = n.id WHERE left(n.city, 4) = left(c.city, 4)""")
+def fuzzy_suffix(spark, d):
+    rows, cat, detail = _ticket_rows(spark, d)
+    cat = cat.withColumn("name", F.concat(_apart("name"), F.lit("x")))
+    return match.match_tickets(rows.withColumn("name", _apart("name")), cat, detail).where("match_kind = 'fuzzy'").select("key", "match_id")
+
+
+@_query(f"""WITH {_ROWS}, {_NEAREST} SELECT n.key, CAST(n.id AS VARCHAR) AS match_id FROM n JOIN c ON c.id = n.id WHERE left(n.city, 4) = left(c.city, 4) OR n.key % 5 = 0""")
+def network_fuzzy(spark, d):
+    cat = _parts(spark, d, 0).select(F.col("key").alias("pos"), F.col("key").cast("string").alias("slug"), F.concat(_apart("name"), F.lit("x")).alias("name"), "city", F.col("state").alias("state_code"), F.lit("").alias("gofan_id"))
+    rows = _parts(spark, d, 1).withColumn("name", _apart("name")).withColumn("city", F.when(F.col("key") % 5 != 0, F.col("city")))
+    return match.match_network(rows, cat).where("match_kind = 'fuzzy'").select("key", "match_id")
+
+
+@_query("""SELECT count(*) FILTER (o_orderkey % 3 = 0) AS matched_original, count(*) FILTER (o_orderkey % 3 = 1) AS matched_name,
+count(*) FILTER (o_orderkey % 3 < 2 AND o_orderstatus = 'F') AS verified FROM orders""")
+def source_counts(spark, d):
+    k = F.col("o_orderkey") % 3
+    rows = _t(spark, d, "orders").select(F.when(k == 0, "original").when(k == 1, "name").alias("match_source"), F.when((k < 2) & (F.col("o_orderstatus") == "F"), "url").otherwise("").alias(VERIFIED_COLUMN))
+    return enrich.source_counts(rows)
+
+
+# Sinks and streams
+
+
+_CELL = "c_name || ', \"' || c_mktsegment || '\"' || chr(10) || 'ü'"
+
+
+@_query(f"SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, {_CELL} AS c_name, CASE WHEN c_custkey % 3 = 0 THEN '' ELSE c_mktsegment END AS c_mktsegment FROM customer")
+def csv_round_trip(spark, d):
+    c = _t(spark, d, "customer")
+    cell = F.concat("c_name", F.lit(', "'), "c_mktsegment", F.lit('"\nü'))
+    path = fresh(spark, "csv")
+    sinks.write_csv(c.select("c_custkey", cell.alias("c_name"), F.when(F.col("c_custkey") % 3 != 0, F.col("c_mktsegment")).alias("c_mktsegment")), path, ["c_custkey", "c_name", "c_mktsegment"])
+    return tables.read_csv(spark, path)
+
+
+def _event_stream(spark, d):
+    events = _t(spark, d, "events")
+    return spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet").parquet(d)
+
+
+@_query("SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events) WHERE rn = 1")
+def stream_upsert(spark, d):
+    path = fresh(spark, "stream")
+    rows = _event_stream(spark, d).select("user_id", "event_id", "event_type")
+    upsert.stream_upsert(rows, f"{path}/table", f"{path}/checkpoint", ["user_id"], "event_id").awaitTermination()
+    return sinks.read_table(spark, f"{path}/table")
+
+
+@_query("SELECT DISTINCT user_id FROM events WHERE user_id IS NOT NULL")
+def stream_emit_once(spark, d):
+    path = fresh(spark, "stream")
+    once = upsert.emit_once(_event_stream(spark, d).select("user_id", "event_id"), "user_id")  # which row is first depends on arrival
+    once.writeStream.format("parquet").option("path", f"{path}/rows").option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{path}/rows").select("user_id")

@@ -35,6 +35,7 @@ def _text(*names: str) -> T.StructType:
 SCHOOLS = T.StructType([T.StructField(f, {"sports": T.ArrayType(T.StringType()), "sports_count": T.IntegerType()}.get(f, T.StringType())) for f in SCHOOL_FIELDS])
 GAMES = T.StructType([T.StructField(f, T.IntegerType() if f == "game_index" else T.StringType()) for f in GAME_FIELDS])
 
+# Names of fields of the embedded document.
 LINKS = _text("website", "facebook", "instagram", "twitter", "youtube")
 URL_ONLY = _text("canonicalUrl")
 SEASON = _text("sport", "gender", "level", "season", "year", "canonicalUrl")
