@@ -25,7 +25,7 @@ SCALE = 256
 CELLS = 256
 BLOCK_ROWS = 2048
 _READ = 32
-_LARGE = float(1 << 22)
+_EXACT = float(1 << 53)
 _LONG = (1 << 63) - 1
 
 
@@ -33,38 +33,37 @@ def search_block(ids: np.ndarray, codes: np.ndarray, exact: np.ndarray, low: flo
     """(query's place, candidate's id, score) of each query's ``k`` best in a block.
 
     own and q_own number the rows, so that a query passes over its own row. Ties go to the smaller
-    id. Values are whole; below 2**22 in size all sums are exact in doubles, else exact integers
-    are used and a score outside the range of a long is set to its nearest end.
+    id. Values are whole. Where no sum of products can reach 2**53 doubles are exact; else the
+    rows that are read are scored in exact integers, bounds are widened by more than their rounding,
+    and a score outside the range of a long is set to its nearest end.
     """
-    large = max(np.abs(exact).max(initial=0), np.abs(queries).max(initial=0)) >= _LARGE
-    if large:
-        whole = [[int(x) for x in row] for row in exact]
-        out = []
-        for j, q in enumerate(queries):
-            q_ = [int(x) for x in q]
-            best = sorted((-sum(a * b for a, b in zip(q_, row, strict=True)), int(i)) for i, row, o in zip(ids, whole, own, strict=True) if o != q_own[j])[:k]
-            out += [(j, i, max(-_LONG - 1, min(_LONG, -s))) for s, i in best]
-        return out
+    most = float(np.abs(exact).max(initial=0)) * float(np.abs(queries).max(initial=0)) * exact.shape[1]
+    large = not most < _EXACT
     floor_ = low + codes * width
-    bound = np.maximum(queries, 0) @ (floor_ + width - 1).T + np.minimum(queries, 0) @ floor_.T
+    with np.errstate(over="ignore", invalid="ignore"):
+        bound = np.maximum(queries, 0) @ (floor_ + width - 1).T + np.minimum(queries, 0) @ floor_.T
+        if large:
+            bound = bound + 1e-9 * (np.abs(queries) @ (np.abs(floor_) + width).T)
+            bound[np.isnan(bound)] = np.inf
     out = []
     for j in range(len(queries)):
         b = bound[j]
         b[own == q_own[j]] = -np.inf
-        best: list[tuple[float, int]] = []
-        done, size = np.zeros(len(b), bool), min(_READ, len(b))
+        whole = [int(x) for x in queries[j]] if large else []
+        best: list[tuple] = []
+        done, size = own == q_own[j], min(_READ, len(b))
         while True:
             floor = -best[k - 1][0] if len(best) >= k else -np.inf
-            rest = np.flatnonzero(~done & (b >= floor) & (b > -np.inf))
+            rest = np.flatnonzero(~done & (b >= float(floor)))
             if not len(rest):
                 break
             if len(rest) > size:
                 rest = rest[np.argpartition(-b[rest], size - 1)[:size]]
             done[rest] = True
-            scores = exact[rest] @ queries[j]
-            best = sorted([*best, *zip((-scores).tolist(), ids[rest].tolist(), strict=True)])[:k]
+            scores = [sum(x * int(y) for x, y in zip(whole, exact[r], strict=True)) for r in rest] if large else (exact[rest] @ queries[j]).tolist()
+            best = sorted([*best, *zip((-s for s in scores), ids[rest].tolist(), strict=True)])[:k]
             size *= 2
-        out += [(j, i, int(-s)) for s, i in best]
+        out += [(j, i, max(-_LONG - 1, min(_LONG, int(-s)))) for s, i in best]
     return out
 
 

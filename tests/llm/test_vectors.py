@@ -114,6 +114,15 @@ def test_search_with_large_values_few_rows_and_none(spark):
     assert vafile.top_k(df.limit(0), lambda i: i % 2 == 0).count() == 0
 
 
+def test_scores_of_many_large_components_are_exact(spark):
+    r = np.random.default_rng(4)
+    top = (1 << 22) - 1
+    v = r.integers(top - 3, top, size=(12, 2048))
+    rows = [(k, [float(x) / 256 for x in row], 0) for k, row in enumerate(v)]
+    df = spark.createDataFrame([(*x, "", "", "") for x in rows], "vec_id long, embedding array<double>, label int, a string, b string, c string")
+    assert sorted(tuple(x) for x in vafile.top_k(df, lambda i: i % 4 == 0).collect()) == brute_top(rows, 4)
+
+
 def test_queries_against_brute_force(spark, sf_dir):
     rows = [(r.vec_id, r.embedding, r.label) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()]
     assert sorted(map(tuple, quantised.op4_vectors(spark, sf_dir).collect())) == sorted(brute_links(rows))
