@@ -66,8 +66,7 @@ def best_fit(items: list[tuple[int, int | None, int | None]], capacity: int, sou
             counts[b][s] = counts[b].get(s, 0) + 1
             if counts[b][s] >= source_limit:
                 full_sources[b] |= s
-        if left > length:
-            insort(residual, (left - length, b))
+        insort(residual, (left - length, b))  # a full bin still takes pieces of length 0
     return out, len(counts)
 
 

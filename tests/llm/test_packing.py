@@ -17,7 +17,7 @@ def brute_best_fit(items, capacity, limit):
         fits = [
             (b["left"], k)
             for k, b in enumerate(bins)
-            if 0 < b["left"] and n <= b["left"] and (s is None or b["s"][s] < limit) and (c is None or c not in b["c"])
+            if n <= b["left"] and (s is None or b["s"][s] < limit) and (c is None or c not in b["c"])
         ]
         if fits:
             k = min(fits)[1]
@@ -82,3 +82,7 @@ def test_query_is_whole_and_tight(spark, sf_dir):
     rows = [(r.doc_id, len([w for w in __import__("re").split(r"[\x20\x09-\x0D]+", r.text) if w])) for r in docs.collect()]
     check(rows, out, packing.CAPACITY, packing.SOURCE_LIMIT)
     assert docs.select(F.sum(packing.word_count("text"))).first()[0] == sum(n for _, n in rows)
+
+
+def test_empty_pieces_go_to_the_tightest_bin():
+    assert packing.best_fit([(100, None, None), (0, None, None)], 100, 4) == ([(0, 0), (0, 100)], 1)
