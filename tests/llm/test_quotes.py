@@ -11,27 +11,64 @@ def test_parse():
     text = "On Monday, Ann wrote:\n> Hello   There\n> world\n>> deeper\n>\n> again\n\nMy answer.\nSecond line\n\nOther"
     own, passages = quotes.parse_message(text)
     assert own == "My answer.\nSecond line\n\nOther"
-    assert passages == [(1, "hello there world"), (2, "deeper"), (1, "again"), (0, "my answer. second line"), (0, "other")]
-    assert quotes.parse_message(None) == ("", []) and quotes.parse_message("a > b") == ("a > b", [(0, "a > b")])
-    assert quotes.parse_message("> > x\n>>> y")[1] == [(2, "x"), (3, "y")]
+    assert passages == [(1, "hello there world", ["hello there", "world"]), (2, "deeper", []), (1, "again", [])]
+    assert quotes.own_units(own) == {"my answer. second line", "my answer.", "second line", "other"}
+    assert quotes.parse_message(None) == ("", []) and quotes.parse_message("a > b") == ("a > b", [])
+    assert [p[:2] for p in quotes.parse_message("> > x\n>>> y")[1]] == [(2, "x"), (3, "y")]
+    assert quotes.own_units(None) == quotes.own_units(" \n\t") == set()
+
+
+def test_parse_attributions_and_separators():
+    two = "On Mon, 1 Jan 2024 at 10:00, Some Person\n<some@example.org> wrote:\n\n> their words\n\nMine."
+    assert quotes.parse_message(two) == ("Mine.", [(1, "their words", [])])
+    inner = "> On Monday, Ann wrote:\n>> first\n> second\nthird"
+    assert quotes.parse_message(inner) == ("third", [(2, "first", []), (1, "second", [])])
+    plain = "On Monday Ann wrote:\nnothing that is quoted"
+    assert quotes.parse_message(plain) == (plain, [])
+    below = "My reply.\n\n-----Original Message-----\nFrom: Ann\nSubject: x\n\nHer words.\n> older"
+    assert quotes.parse_message(below) == ("My reply.", [(1, "her words.", []), (2, "older", [])])
+    # a reply between the lines of a quote leaves two paragraphs
+    assert quotes.parse_message("one\n> q\ntwo")[0] == "one\n\ntwo"
+
+
+def test_trimmed_and_interleaved_quotes(spark):
+    said = "First of the lines here\nsecond of the lines here\nthird of the lines here. It ends in a quiet way."
+    rows = [
+        (1, 0, said),
+        (1, 1, "> second of the lines here\n\nA line of it."),
+        (1, 2, "> First of the lines here\n> second of the lines here\n\nTwo lines of it."),
+        (1, 3, "> First of the lines here\nyes\n> second of the lines here\nno\n> third of the lines here. It ends in a quiet way.\nwell"),
+        (1, 4, "> It ends in a\n> quiet way.\n\nOne sentence, wrapped anew."),
+        (1, 5, "> yes\n> changed by whoever quotes it\n\nA piece of too few words."),
+        (1, 6, "> never said by anyone\n\nNothing."),
+        (2, 0, "> second of the lines here\n\nElsewhere."),
+    ]
+    got = quotes.link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, text string")).collect()
+    got = {(g.conv_id, g.turn): (g.reply_conv, g.reply_turn, g.quotes, g.linked) for g in got}
+    none = (None, None, 1, 0)
+    assert got == {(1, 0): (None, None, 0, 0), (1, 1): (1, 0, 1, 1), (1, 2): (1, 0, 1, 1), (1, 3): (1, 0, 3, 3), (1, 4): (1, 0, 1, 1), (1, 5): none, (1, 6): none, (2, 0): (1, 0, 1, 1)}
 
 
 def brute(rows, min_words=5):
     """rows: (conv, turn, text) in order; (reply conv, reply turn, depth, thread) for each."""
     parsed = [quotes.parse_message(t) for *_, t in rows]
+    units = [quotes.own_units(own) for own, _ in parsed]
     up = [None] * len(rows)
     for k, (conv, turn, _) in enumerate(rows):
         if conv is None or turn is None:
             continue
         best = None
-        for level, p in parsed[k][1]:
-            if not level:
-                continue
-            said = sorted((rows[j][0], rows[j][1], j) for j in range(len(rows)) if None not in rows[j][:2] and (0, p) in parsed[j][1])
-            near = next((s for s in said if s[0] == conv), None)
-            source = near if near and near < (conv, turn, k) else said[0] if said and said[0] < (conv, turn, k) and len(p.split()) >= min_words else None
-            if source and (best is None or (-level, source) > best):
-                best = (-level, source)
+        for level, whole, pieces in parsed[k][1]:
+            found = []
+            for p in [whole, *pieces]:
+                words = len(p.split())
+                said = sorted((rows[j][0], rows[j][1], j) for j in range(len(rows)) if None not in rows[j][:2] and p in units[j])
+                near = next((s for s in said if s[0] == conv), None)
+                source = near if near and near < (conv, turn, k) else said[0] if said and said[0] < (conv, turn, k) and words >= min_words else None
+                if source and (p == whole or words >= quotes.PIECE_WORDS):
+                    found.append((p == whole, words, source))
+            if found and (best is None or (-level, max(found)[2]) > best):
+                best = (-level, max(found)[2])
         up[k] = best[1] if best else None
     out = []
     for k in range(len(rows)):
@@ -52,8 +89,11 @@ def made():
             quoted = [f"{'> ' * r.randint(1, 2)}{r.choice(said).upper()}" for _ in range(r.randint(0, 2)) if turn]
             if conv > 6 and turn == 1:
                 quoted.append("> note 3 1 is about  point")
+            if turn > 1 and conv % 3 == 0:
+                quoted.append(f"> {said[-1].splitlines()[-1]}\n> and words that nobody wrote before {conv}")
+            own += f"\nwith a second line {turn}. And one more sentence in it" if conv % 2 else ""
             rows.append((conv, turn, "\n\n".join([*quoted, own])))
-            said.append(own)
+            said += [own.split("\n")[0], own.replace("\n", "\n> ")]
     rows += [(None, 1, "> note"), (3, None, "x"), (4, 9, None), (4, 10, ""), (0, 0, rows[0][2]), (5, 20, "> " + "long words " * 20_000 + "\nok")]
     return rows
 
