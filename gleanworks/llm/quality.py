@@ -138,80 +138,6 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
     return model
 
 
-def score(self, text: bytes | None) -> float:
-        """The calibrated probability of label 1; null texts count as empty."""
-        z = self.weight * self.difference(text or b"") + self.intercept
-        return float(1 / (1 + np.exp(-np.clip(z, -500, 500))))
-
-
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Weight and intercept by Newton's method, with targets drawn in a little from 0 and 1."""
-    n1, n0 = y.sum(), len(y) - y.sum()
-    t = np.where(y == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
-    scale = x.std() or 1.0
-    a = np.stack([(x - x.mean()) / scale, np.ones_like(x)], axis=1)
-    w = np.array([1.0, np.log((n1 + 1) / (n0 + 1))])
-    loss = lambda v: float(np.sum(np.logaddexp(0, a @ v) - t * (a @ v)) + 0.5e-3 * v @ v)
-    for _ in range(60):
-        p = 1 / (1 + np.exp(-np.clip(a @ w, -500, 500)))
-        grad = a.T @ (p - t) + 1e-3 * w
-        hess = (a * (p * (1 - p))[:, None]).T @ a + 1e-3 * np.eye(2)
-        step, size, now = np.linalg.solve(hess, grad), 1.0, loss(w)
-        while loss(w - size * step) > now and size > 1e-6:
-            size /= 2
-        w = w - size * step
-        if np.abs(step).max() * size < 1e-9:
-            break
-    return float(w[0] / scale), float(w[1] - w[0] * x.mean() / scale)
-
-
-def _dictionary(samples: list[bytes]) -> bytes:
-    """A trained dictionary; from too little text for training, the text itself."""
-    try:
-        return zstandard.train_dictionary(DICT_BYTES, samples).as_bytes()
-    except (zstandard.ZstdError, ValueError):
-        return (b"\n".join(samples) or b"\n" * 16)[:DICT_BYTES].ljust(16, b"\n")
-
-
-def sample(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str, text_col: str, part: int, label: int, limit: int, max_bytes: int) -> list[bytes]:
-    """Texts of at most ``limit`` labelled rows and ``max_bytes`` bytes, in the order of a hash of the id."""
-    chosen = labels.where((F.col(label_col) == label) & (F.pmod(F.xxhash64(id_col, F.lit("part")), F.lit(2)) == part))
-    chosen = chosen.select(F.col(id_col).alias("id_"), F.xxhash64(F.col(id_col)).alias("at_")).orderBy("at_", "id_").limit(limit)
-    body = docs.select(F.col(id_col).alias("id_"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"").cast("binary")).alias("body_"))
-    found = F.broadcast(chosen).join(body, "id_")  # at most ``limit`` rows
-    rank = found.select("at_", "id_", F.octet_length("body_").alias("n_"), "body_").where(F.col("n_") <= max_bytes // 8)
-    out, total = [], 0
-    for row in rank.orderBy("at_", "id_", "n_").toLocalIterator():
-        if total + row["n_"] > max_bytes:
-            continue
-        out.append(bytes(row["body_"]))
-        total += row["n_"]
-    return out
-
-
-def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", sample_docs: int = SAMPLE_DOCS, sample_bytes: int = SAMPLE_BYTES) -> Model:
-    """Learn from a bounded sample: ``sample_docs`` rows and ``sample_bytes`` bytes for each class and part.
-
-    Rows of ``labels`` with a null id or label are not used; a doc_id with both labels counts as 0.
-    With no row of one class the score is 0.5 for every text.
-    """
-    known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(id_col).agg(F.min(label_col).alias(label_col))
-    get = lambda part, label: sample(docs, known, label_col, id_col, text_col, part, label, sample_docs, sample_bytes)
-    good, bad = (list(dict.fromkeys(get(0, label))) for label in (1, 0))
-    model = Model(_dictionary(good), _dictionary(bad))
-    held_good, held_bad = get(1, 1) or good, get(1, 0) or bad
-    if not held_good or not held_bad:
-        model.weight = 0.0
-        return model
-    x = np.array([model.difference(t) for t in held_good + held_bad])
-    y = np.array([1] * len(held_good) + [0] * len(held_bad))
-    model.weight, model.intercept = _logistic(x, y)
-    shares = {r[label_col]: r["count"] for r in known.groupBy(label_col).count().collect()}  # a row for each label
-    odds = (shares.get(1, 0) + 1) / (shares.get(0, 0) + 1)
-    model.intercept += float(np.log(odds * len(held_bad) / len(held_good)))
-    return model
-
-
 def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
     """``docs`` with ``score_col``; null and empty texts get the score of an empty text. Rows keep their order."""
     from pyspark.sql.functions import pandas_udf
