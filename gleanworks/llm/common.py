@@ -58,17 +58,22 @@ def remove(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """What ``materialise`` gives, and the path, so that the caller can remove it early."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, label)
+    if _WRITTEN:
+        _WRITTEN[-1].append(path)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     It cuts the lineage: what reads the result does not depend on the executors that made it,
     and values such as ``monotonically_increasing_id()`` are fixed from here on.
     """
-    spark, path = df.sparkSession, scratch_path(df.sparkSession, label)
-    if _WRITTEN:
-        _WRITTEN[-1].append(path)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return written(df, label)[0]
 
 
 #: Rows of one Arrow batch that holds whole texts; Spark's default is 10,000.
@@ -285,3 +290,28 @@ def with_rank(df: DataFrame, order: list[Column], rank: str, parts: int | None =
     table = spark.createDataFrame(before, f"{key} long, {start} long")
     joined = placed.withColumn(key, part).join(F.broadcast(table), key)  # a row for each partition
     return joined.withColumn(rank, F.col(start) + low).drop(at, key, start), total
+
+
+#: At most so many keys are heavy: those that hold a share of 1 / HEAVY_KEYS of the weight or more.
+HEAVY_KEYS = 4096
+
+
+def join_weighted(df: DataFrame, keys: DataFrame, on: list[str], weight: str, spread: Column) -> DataFrame:
+    """``df`` inner-joined with ``keys``, a written table in which ``on`` is distinct and not null, without hot tasks.
+
+    ``weight`` is a column of ``keys`` in proportion to the rows of ``df`` that a key has. Keys of
+    a share of 1 / HEAVY_KEYS or more, of which there are HEAVY_KEYS at most, are broadcast; their
+    rows are then dealt by ``spread``, a hash of what tells rows apart, and every other key is met
+    by a sorted join. ``weight`` is not returned.
+    """
+    spark, new = df.sparkSession, [c for c in keys.columns if c not in on and c != weight]
+    total = keys.agg(F.sum(weight).alias("s")).first()["s"]
+    if total is None:
+        none = spark.createDataFrame([], keys.select(*on, *new).schema)
+        return df.join(none, on)
+    found, salt = free_name(df, "found_"), free_name(df, "salt_")
+    heavy = F.broadcast(keys.where(F.col(weight) * HEAVY_KEYS >= F.lit(total)).select(*on, F.struct(F.lit(True), *new).alias(found)))
+    marked = df.join(heavy, on, "left").withColumn(salt, F.when(F.col(found).isNull(), 0).otherwise(1 + F.pmod(spread, F.lit(1 << 30))).cast("int"))
+    light = keys.where(F.col(weight) * HEAVY_KEYS < F.lit(total)).select(*on, F.lit(0).alias(salt), F.struct(F.lit(True), *new).alias(found + "2"))
+    met = marked.join(light.hint("merge"), [*on, salt], "left").withColumn(found, F.coalesce(found, found + "2")).where(F.col(found).isNotNull())
+    return met.select(*df.columns, *[F.col(f"{found}.{c}").alias(c) for c in new])
