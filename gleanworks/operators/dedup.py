@@ -7,22 +7,29 @@ from pyspark.sql import functions as F
 
 
 def _whole(df: DataFrame) -> Column:
-    return F.struct(*[F.col(c) for c in df.columns])
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def _pick(df: DataFrame, keys: list[str], order: Column, last: bool) -> DataFrame:
-    """One row for each key by a partial aggregate, so that a hot key is reduced before the shuffle."""
-    best = (F.max_by if last else F.min_by)(_whole(df), order)
+    """One row for each key by a partial aggregate, so that a hot key is reduced before the shuffle.
+
+    Rows without an order come behind all that have one: they are the earliest where the last wins
+    and the latest where the first wins. Rows equal in order are told apart by a hash of the row,
+    so that a rerun picks the same one.
+    """
+    hashed = [F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+    place = F.struct((order.isNotNull() if last else order.isNull()).alias("known"), order.alias("order"), F.xxhash64(*hashed).alias("tie"))
+    best = (F.max_by if last else F.min_by)(_whole(df), place)
     return df.groupBy(*[F.col(k).alias(f"key_{i}_") for i, k in enumerate(keys)]).agg(best.alias("row_")).select("row_.*")
 
 
 def first_wins(df: DataFrame, keys: list[str], order: Column, keep_null_keys: bool = False) -> DataFrame:
-    """The earliest row for each key; rows with a null key are dropped, or all kept."""
+    """The earliest row for each key; rows with a null key are dropped, or all kept. A row without an order loses to any with one."""
     return _split_nulls(df, keys, lambda d: _pick(d, keys, order, last=False), keep_null_keys)
 
 
 def last_wins(df: DataFrame, keys: list[str], order: Column, keep_null_keys: bool = True) -> DataFrame:
-    """The latest row for each key: a whole-row upsert. Rows with a null key never collapse."""
+    """The latest row for each key: a whole-row upsert. Rows with a null key never collapse; a row without an order loses to any with one."""
     return _split_nulls(df, keys, lambda d: _pick(d, keys, order, last=True), keep_null_keys)
 
 

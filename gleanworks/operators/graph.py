@@ -2,42 +2,41 @@
 
 from __future__ import annotations
 
-import itertools
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanworks.operators.dedup import unseen
-from gleanworks.storage import ensure_checkpoints
+from gleanworks.operators.frontier import BLOOM_FROM, SOURCES, Store, expand_rounds
+from gleanworks.storage import fresh
 
-#: Sources of a page in order of preference at equal depth.
-SOURCES = ("directory", "nearby", "opponent")
+__all__ = ["SOURCES", "expand"]
+#: So few frontier nodes are named in the filter of the edge scan.
+FEW = 256
 
 
-def expand(seeds: DataFrame, edges: DataFrame, scope: Column | None = None, max_rounds: int | None = None, checkpoint_every: int = 4) -> DataFrame:
+def expand(seeds: DataFrame, edges: DataFrame, scope: Column | None = None, max_rounds: int | None = None, store: str | None = None, signature: str = "", stop_after: int | None = None, bloom_from: int = BLOOM_FROM) -> DataFrame:
     """``id, depth, via`` of everything reachable from ``seeds`` (id, via) over ``edges`` (src, dst, via).
 
-    Seeds need not be in ``scope``, a condition on ``dst``; what edges lead to must. Each round
-    joins only the new frontier and leaves out what was visited. Of several ways to a page the
-    least depth wins, then directory before nearby before opponent, then the label. Frontiers are
-    written by ``checkpoint()`` every few rounds, which cuts the lineage for lost executors too.
-    Rounds go on until nothing new is reached; more than ``max_rounds``, if given, are an error.
+    Seeds need not be in ``scope``, a condition on ``dst``; what edges lead to must. Edges are computed
+    once and written, sorted by their source in each file, so a small frontier reads few of their row
+    groups. Each round joins only the new frontier and leaves out what was visited. Of several ways to
+    a page the least depth wins, then directory before nearby before opponent, then the label. Rounds
+    go on until nothing new is reached; more than ``max_rounds``, if given, are an error.
+
+    Rounds are kept in ``store``, a folder, and a call with the same store and ``signature`` goes on
+    after its last round (``stop_after`` ends a call early); without one they are in the shared folder.
     """
     spark = seeds.sparkSession
-    ensure_checkpoints(spark)
-    rank = F.coalesce(F.array_position(F.array(*[F.lit(s) for s in SOURCES]), F.substring_index(F.col("via"), ":", 1)), F.lit(9))
-    best = lambda df, depth: df.where(F.col("id").isNotNull()).groupBy("id").agg(F.min(F.struct(rank.alias("r"), "via")).alias("b")).select("id", F.lit(depth).alias("depth"), F.col("b.via").alias("via"))
-    steps = edges.where(F.col("dst").isNotNull()) if scope is None else edges.where(F.col("dst").isNotNull() & scope)
-    steps = steps.select("src", "dst", "via").distinct()
-    visited = frontier = best(seeds, 0).checkpoint()
-    for depth in itertools.count(1):
-        reached = frontier.select(F.col("id").alias("src")).join(steps, "src").select(F.col("dst").alias("id"), "via")
-        frontier = unseen(best(reached, depth), visited, "id").checkpoint()
-        if not frontier.head(1):
-            break
-        if max_rounds is not None and depth > max_rounds:
-            raise RuntimeError(f"something is reached only after more than {max_rounds} rounds")
-        visited = visited.unionByName(frontier)
-        if depth % checkpoint_every == 0:
-            visited = visited.checkpoint()
-    return visited
+    rounds = Store(spark, store or fresh(spark, "frontier"), signature)
+
+    def steps() -> DataFrame:
+        held = edges.where(F.col("dst").isNotNull()) if scope is None else edges.where(F.col("dst").isNotNull() & scope)
+        return held.select("src", "dst", "via").distinct().sortWithinPartitions("src")
+
+    table = rounds.keep("edges", steps)
+
+    def visit(frontier: DataFrame, k: int) -> DataFrame:
+        some = [r["id"] for r in frontier.select("id").limit(FEW + 1).collect()]
+        held = table.where(F.col("src").isin(some)) if len(some) <= FEW else table
+        return frontier.select(F.col("id").alias("src")).join(held, "src").select(F.col("dst").alias("id"), "via")
+
+    return expand_rounds(rounds, lambda: seeds.select("id", "via"), visit, max_rounds, stop_after, bloom_from)[0]

@@ -11,7 +11,7 @@ from gleanworks.functions import html as H
 from gleanworks.functions import text as X
 from gleanworks.operators import dedup, enrich, extract, graph, match, sinks
 from gleanworks.schemas import VERIFIED_COLUMN
-from gleanworks.sources import tables
+from gleanworks.sources import connectors, tables
 from gleanworks.storage import fresh
 from gleanworks.streaming import upsert
 
@@ -82,6 +82,20 @@ def upsert_null_keys_kept(spark, d):
     return dedup.last_wins(e, ["k"], F.col("event_id"))
 
 
+_SEQ = "CASE WHEN user_id % 3 = 0 OR event_id % 4 = 0 THEN NULL ELSE event_id END"
+
+
+@_query(f"""WITH e AS (SELECT user_id, {_SEQ} AS seq, min(event_id) AS n FROM events GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY seq DESC NULLS LAST) AS rn FROM e) SELECT user_id, seq FROM r WHERE rn = 1""")
+def upsert_null_order(spark, d):
+    known = (F.col("user_id") % 3 != 0) & (F.col("event_id") % 4 != 0)
+    rows = _t(spark, d, "events").select("user_id", F.when(known, F.col("event_id")).alias("seq"), (F.col("event_id") % 2).alias("half"))
+    path = f"{fresh(spark, 'store')}/table"
+    for half in (1, 0):
+        sinks.upsert_table(rows.where(F.col("half") == half).drop("half"), path, ["user_id"], "seq")
+    return sinks.read_table(spark, path)
+
+
 @_query("SELECT user_id, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events) WHERE rn = 1")
 def emit_once_first(spark, d):
     return dedup.first_wins(_t(spark, d, "events").select("user_id", "event_id"), ["user_id"], F.col("event_id"))
@@ -141,6 +155,21 @@ def graph_reach(spark, d):
     return graph.expand(seeds, e).select("id")
 
 
+@_query("""WITH RECURSIVE c AS (SELECT c_custkey AS k, c_nationkey AS n FROM customer),
+e AS (SELECT k AS src, unnest([2 * k + n % 2, 3 * k, k + 1000]) AS dst FROM c),
+s AS (SELECT e.* FROM e SEMI JOIN c ON c.k = e.dst),
+r AS (SELECT CAST(1 AS BIGINT) AS id, 0 AS depth UNION SELECT s.dst, r.depth + 1 FROM r JOIN s ON s.src = r.id)
+SELECT id, CAST(min(depth) AS INTEGER) AS depth FROM r GROUP BY id""")
+def frontier_resume(spark, d):
+    c = _t(spark, d, "customer").select("c_custkey", "c_nationkey")
+    k = F.col("c_custkey")
+    e = c.select(k.alias("src"), F.explode(F.array(2 * k + F.col("c_nationkey") % 2, 3 * k, k + 1000)).alias("dst")).withColumn("via", F.lit("nearby"))
+    e = e.join(c.select(k.alias("dst")), "dst", "left_semi")
+    seeds, path = spark.createDataFrame([(1, "directory:x")], "id long, via string"), fresh(spark, "frontier")
+    graph.expand(seeds, e, store=path, stop_after=2, bloom_from=0)  # two rounds, then a call that takes it up
+    return graph.expand(seeds, e, store=path, bloom_from=0).select("id", "depth")
+
+
 def _parts(spark, d, parity):
     p = _t(spark, d, "part").where(F.col("p_partkey") % 2 == parity)
     return p.select(F.col("p_partkey").alias("key"), F.col("p_name").alias("name"), F.col("p_brand").alias("state"), F.col("p_type").alias("city"))
@@ -402,6 +431,80 @@ def csv_round_trip(spark, d):
     return tables.read_csv(spark, path)
 
 
+def _customers_csv(spark, d):
+    """A CSV file of the customers in the order of their keys."""
+    path = f"{fresh(spark, 'csv')}/customers.csv"
+    c = _t(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey")
+    sinks.write_csv_file(c, path, c.columns, "c_custkey")
+    return path
+
+
+@_query("""SELECT row_number() OVER (ORDER BY c_custkey) - 1 AS place, CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
+CASE WHEN n_regionkey <> 2 THEN n_name ELSE '' END AS nation FROM customer JOIN nation ON n_nationkey = c_nationkey""")
+def rewrite_in_order(spark, d):
+    from gleanworks import cli  # which imports the plans
+
+    path = _customers_csv(spark, d)
+    nations = _t(spark, d, "nation").where("n_regionkey <> 2").select(F.col("n_nationkey").cast("string").alias("c_nationkey"), F.col("n_name").alias("nation"))
+    cli.enrich_csv(spark, path, lambda rows: rows.join(nations.hint("merge"), "c_nationkey", "left"))
+    return tables.read_csv(spark, path, "place")
+
+
+@_query("""WITH r AS (SELECT row_number() OVER (ORDER BY c_custkey DESC) AS n, count(*) OVER () AS total,
+'  {"c_custkey":' || c_custkey || ',"c_name":"' || c_name || '","c_nationkey":' || CASE WHEN c_custkey % 5 = 0 THEN 'null' ELSE CAST(c_nationkey AS VARCHAR) END || '}' AS j FROM customer)
+SELECT n AS line, j || CASE WHEN n < total THEN ',' ELSE '' END AS text FROM r UNION ALL SELECT 0, '[' UNION ALL SELECT count(*) + 1, ']' FROM customer""")
+def json_array_lines(spark, d):
+    path = f"{fresh(spark, 'json')}/customers.json"
+    c = _t(spark, d, "customer").select("c_custkey", "c_name", F.when(F.col("c_custkey") % 5 != 0, F.col("c_nationkey")).alias("c_nationkey"), (-F.col("c_custkey")).alias("at"))
+    sinks.write_json_array(c.repartition(7).sortWithinPartitions("at").drop("at"), path, [F.col("c_custkey").desc()])
+    lines = spark.read.text(path, wholetext=True)  # one file, to number its lines
+    return lines.select(F.posexplode(F.split(F.regexp_replace("value", "\n$", ""), "\n")).alias("line", "text")).select(F.col("line").cast("long").alias("line"), "text")
+
+
+# Catalogs of services, from pages recorded by Spark
+
+
+def _recorded_slices(spark, d):
+    """(address, steps): the customers as a catalog of 25 states, in pages of 500 as a service would give them."""
+    codes = [c.upper() for c in tables.STATES][:25]
+    code = F.element_at(F.array(*[F.lit(c) for c in codes]), F.col("c_nationkey") + 1)
+    slug = F.when(F.col("c_custkey") % 11 != 0, F.concat(F.lit("c"), F.col("c_custkey").cast("string")))
+    rows = _t(spark, d, "customer").select("c_custkey", slug.alias("slug"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("city"), code.alias("state_code"), F.col("c_nationkey").alias("gofan_id"))
+    rows = rows.withColumn("step", F.explode(F.array(F.lit(""), "state_code")))
+    part = Window.partitionBy("step")
+    rows = rows.withColumn("n", F.row_number().over(part.orderBy("c_custkey")) - 1).withColumn("total", F.count(F.lit(1)).over(part))  # a catalog: as much as a service holds
+    item = F.struct("n", "slug", "name", "city", "state_code", "gofan_id")
+    pages = rows.groupBy(F.concat(F.lit("of-"), "step").alias("state"), (F.floor(F.col("n") / 500) * 500).alias("start")).agg(F.max("total").alias("total"), F.array_sort(F.collect_list(item)).alias("items"))
+    path = fresh(spark, "recorded")
+    pages.select("state", "start", F.to_json(F.struct("total", "items")).alias("value")).write.partitionBy("state", "start").text(path)
+    return f"{path}/state=of-{{state}}/start={{start}}", ["__full__", *codes]
+
+
+_SLICES = """c AS (SELECT c_custkey, CASE WHEN c_custkey % 11 <> 0 THEN 'c' || c_custkey END AS slug, c_name AS name, c_mktsegment AS city,
+  (['AL','AK','AZ','AR','CA','CO','CT','DE','DC','FL','GA','HI','ID','IL','IN','IA','KS','KY','LA','ME','MD','MA','MI','MN','MS'])[c_nationkey + 1] AS state_code, c_nationkey FROM customer),
+a AS (SELECT *, 0 AS slice_no, '__full__' AS step, row_number() OVER (ORDER BY c_custkey) AS n FROM c
+  UNION ALL SELECT *, c_nationkey + 1, state_code, row_number() OVER (PARTITION BY state_code ORDER BY c_custkey) FROM c),
+s AS (SELECT *, row_number() OVER (PARTITION BY step ORDER BY n) - 1 AS "at" FROM a WHERE n <= 10000 AND slug IS NOT NULL)"""
+
+
+@_query(f"""WITH {_SLICES} SELECT CAST(slice_no AS INTEGER) AS slice_no, step, "at", slug, name, city, state_code, CAST(c_nationkey AS VARCHAR) AS gofan_id FROM s WHERE state_code IN ('CA', 'DE')""")
+def catalog_states(spark, d):
+    address, steps = _recorded_slices(spark, d)
+    connectors.register(spark)
+    source = spark.read.format("network_catalog").options(address=address, steps=",".join(steps), pause=0).load()
+    return source.where("state_code in ('CA', 'DE')")
+
+
+@_query(f"""WITH {_SLICES}, r AS (SELECT *, row_number() OVER (PARTITION BY slug ORDER BY slice_no) AS rn FROM s)
+SELECT slug, name, city, state_code, CAST(c_nationkey AS VARCHAR) AS gofan_id, CAST(slice_no AS BIGINT) * 1099511627776 + "at" AS pos FROM r WHERE rn = 1""")
+def catalog_merged(spark, d):
+    address, steps = _recorded_slices(spark, d)
+    found, complete = connectors.network_catalog(spark, address, fresh(spark, "network"), steps, pause=0)
+    if not complete:
+        raise RuntimeError("a slice could not be read")
+    return found
+
+
 def _event_stream(spark, d):
     events = _t(spark, d, "events")
     return spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet").parquet(d)

@@ -35,10 +35,15 @@ def seeds(spark: SparkSession, base: str, codes: list[str] | None = None) -> Dat
     return wanted.select(F.format_string(f"{base}/%s/schools/", "code").alias("url"), F.col("code").alias("state_code"))
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A CSV with a header, all cells text; blank cells are empty strings, quoted line ends are kept."""
+def read_csv(spark: SparkSession, path: str, pos: str | None = None) -> DataFrame:
+    """A CSV with a header, all cells text; blank cells are empty strings, quoted line ends are kept.
+
+    ``pos``, if given, names a column of the rows' places: rows of a file in their order. A file with quoted line
+    ends can't be cut, so it is read by one task, as a stream.
+    """
     df = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
-    return df.fillna("")
+    df = df.fillna("")
+    return df if pos is None else df.withColumn(pos, F.monotonically_increasing_id())
 
 
 def read_json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -60,10 +61,85 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
-def write_text(spark: SparkSession, path: str, pieces) -> None:
-    """Write strings one after another; the file appears under its name once it is whole."""
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds; none if there is no such folder."""
     fs, hadoop = file_system(spark, path)
-    jvm, part = spark.sparkContext._jvm, f"{path}.part-{uuid.uuid4().hex}"
+    return sorted(s.getPath().getName() for s in fs.listStatus(hadoop(path))) if fs.exists(hadoop(path)) else []
+
+
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes of a file or of all files of a folder."""
+    fs, hadoop = file_system(spark, path)
+    return fs.getContentSummary(hadoop(path)).getLength()
+
+
+def move(spark: SparkSession, source: str, target: str, overwrite: bool = True) -> bool:
+    """Rename in one step; false if ``target`` is there and may not be replaced.
+
+    On a local file system, which only a local master writes to, Hadoop's rename deletes the target
+    first, so a file is replaced there by the system's own call; its checksum goes before and comes after.
+    """
+    fs, hadoop = file_system(spark, target)
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    if fs.getScheme() == "file" and overwrite and not fs.getFileStatus(hadoop(source)).isDirectory():
+        here, there = (fs.makeQualified(hadoop(p)).toUri().getPath() for p in (source, target))
+        crc = lambda p: f"{os.path.dirname(p)}/.{os.path.basename(p)}.crc"
+        if os.path.exists(crc(there)):
+            os.remove(crc(there))
+        os.replace(here, there)
+        if os.path.exists(crc(here)):
+            os.replace(crc(here), crc(there))
+        return True
+    options = gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, int(overwrite))
+    if overwrite:
+        options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        context.rename(hadoop(source), hadoop(target), options)
+    except Exception as why:
+        if not overwrite and "FileAlreadyExistsException" in str(why):
+            return False
+        raise
+    return True
+
+
+def join_files(spark: SparkSession, parts: list[str], target: str) -> None:
+    """One file of ``parts``, in their order; it appears under its name, replacing what was there, in one step.
+
+    Parts are joined by the file system where it can (no bytes move then), else copied from stream to
+    stream in the JVM, a buffer at a time. The parts may be gone afterwards.
+    """
+    fs, hadoop = file_system(spark, target)
+    jvm, whole = spark.sparkContext._jvm, f"{target}.whole-{uuid.uuid4().hex}"
+    fs.create(hadoop(whole), True).close()
+    sizes = [fs.getFileStatus(hadoop(p)).getLen() for p in parts]
+    held = [p for p, n in zip(parts, sizes, strict=True) if n]
+    try:
+        if fs.getScheme() != "hdfs":
+            raise NotImplementedError
+        for k in range(0, len(held), 500):
+            some = spark.sparkContext._gateway.new_array(hadoop, len(held[k : k + 500]))
+            for i, p in enumerate(held[k : k + 500]):
+                some[i] = hadoop(p)
+            fs.concat(hadoop(whole), some)
+    except NotImplementedError:
+        out = fs.create(hadoop(whole), True)
+        try:
+            for p in held:
+                stream = fs.open(hadoop(p))
+                try:
+                    jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, out, 1 << 20, False)
+                finally:
+                    stream.close()
+        finally:
+            out.close()
+    move(spark, whole, target)
+
+
+def write_text(spark: SparkSession, path: str, pieces, overwrite: bool = True) -> bool:
+    """Write strings one after another; the file appears under its name once it is whole. False if it is there and may not be replaced."""
+    fs, hadoop = file_system(spark, path)
+    part = f"{path}.part-{uuid.uuid4().hex}"
     stream = fs.create(hadoop(part), True)
     held, size = [], 0
     try:
@@ -76,7 +152,7 @@ def write_text(spark: SparkSession, path: str, pieces) -> None:
         stream.write(bytearray("".join(held).encode()))
     finally:
         stream.close()
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
-    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-    context.rename(hadoop(part), hadoop(path), options)
+    done = move(spark, part, path, overwrite)
+    if not done:
+        remove(spark, part)
+    return done

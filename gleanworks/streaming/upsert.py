@@ -12,10 +12,11 @@ from gleanworks.operators.sinks import upsert_table
 def stream_upsert(items: DataFrame, path: str, checkpoint: str, keys: list[str], seq: str) -> StreamingQuery:
     """Apply a stream's rows to the table at ``path``; ``seq``, not arrival, decides what is latest.
 
-    A batch that is replayed after a failure changes nothing, since an upsert is idempotent. A batch
-    rewrites only the buckets of its keys. Read the table with ``sinks.read_table``.
+    A batch that is replayed after a failure changes nothing, rows without a key included, since the
+    table keeps the number of the last batch of a checkpoint. A batch rewrites only the buckets of its
+    keys. Read the table with ``sinks.read_table``.
     """
-    put = lambda batch, _: upsert_table(batch, path, keys, seq)
+    put = lambda batch, number: upsert_table(batch, path, keys, seq, (checkpoint, number))
     return items.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 

@@ -99,7 +99,7 @@ def test_dedup(spark):
 def test_graph_with_cycle_and_scope(spark):
     edges = spark.createDataFrame([(1, 2, "nearby"), (2, 3, "opponent"), (3, 1, "nearby"), (1, 3, "opponent"), (3, 9, "nearby"), (None, 4, "nearby"), (2, None, "nearby")], "src long, dst long, via string")
     seeds = spark.createDataFrame([(1, "directory:tx"), (1, "directory:ca")], "id long, via string")
-    got = graph.expand(seeds, edges, F.col("dst") < 9, checkpoint_every=1)
+    got = graph.expand(seeds, edges, F.col("dst") < 9)
     assert rows_of(got, "id", "depth", "via") == [(1, 0, "directory:ca"), (2, 1, "nearby"), (3, 1, "opponent")]
 
 
@@ -267,7 +267,7 @@ def test_jobs(spark, tmp_path):
     assert j.status(failed)["status"] == "error" and j.delete(failed) == j.delete("no") == {"deleted": True}
     j.seconds = -1
     late = j.submit({"states": "wy", "sports": "slow"})["job_id"]
-    assert j.status(late)["error"] == "job timed out"
+    assert j.status(late)["error"].startswith("stopped")
     assert j.health() == {"ok": True} and len(j.states()) == 51 and len(j.sports()) == 16
 
 
