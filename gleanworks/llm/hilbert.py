@@ -155,7 +155,9 @@ def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, dims: tuple[s
     """Write whole rows in curve order, a folder for each run, for pruning by file statistics.
 
     Here the text moves with the row: one range partitioning by curve index and, as very many rows
-    may have one index, by a hash of the row in ``salts`` values, cut where runs begin.
+    may have one index, by a hash of the row in ``salts`` values, cut where runs begin. Nulls of a
+    dimension have a place of their own on its axis; rows are written as they are, null texts and repeated rows too. An empty
+    table writes a folder without rows. Columns of any name are kept; the run's number is in the folders' names only.
     """
     index, run, salt = free_name(docs, "curve_"), free_name(docs, "shard_"), free_name(docs, "salt_")
     placed = with_hilbert(docs, [d for d in dims if d != id_col], index, bits)

@@ -285,9 +285,7 @@ def mixed(docs: DataFrame, labels: DataFrame, domain: Column, shares: dict[str,
     text = F.col(text_col).cast("binary")
     keyed = docs.select("*", F.xxhash64(F.col(id_col), text).alias(keys[0]), F.xxhash64(F.lit("second"), F.col(id_col), text).alias(keys[1]))
     rated, told = mix(keyed.select(id_col, text_col, *keys), labels, domain, shares, id_col, text_col, budget)
-    copies = told["columns"]["copies"]
-    while copies in docs.columns:
-        copies += "_"
+    copies = free_name(docs, told["columns"]["copies"])
     other = rated.withColumnRenamed(told["columns"]["copies"], copies).where(F.col(copies) != 1).groupBy(*keys).agg(F.max(copies).alias(copies))
     joined = having(keyed, materialise(other, "copies"), keys, "left").withColumn(copies, F.coalesce(copies, F.lit(1)))
     return joined.where(F.col(copies) > 0).select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(copies))).alias(copies)).select(*docs.columns)

@@ -139,7 +139,12 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
-    """``docs`` with ``score_col``; null and empty texts get the score of an empty text. Rows keep their order."""
+    """``docs`` with ``score_col``; null and empty texts get the score of an empty text. Rows keep their order.
+
+    A column of the name ``score_col``, in either case, is an error: choose a free name.
+    """
+    if score_col.lower() in {c.lower() for c in docs.columns}:
+        raise ValueError(f"a column {score_col} is there already")
     from pyspark.sql.functions import pandas_udf
 
     small_batches(docs.sparkSession)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import os
 import zlib
 from collections import defaultdict
 
@@ -111,3 +112,13 @@ def test_rows_of_one_index_are_split(spark):
     hilbert.write_shards(docs, path, shards=8)
     counts = [r["count"] for r in spark.read.parquet(path).groupBy("shard_").count().collect()]
     assert len(counts) >= 6 and max(counts) < 700
+
+
+def test_written_shards_of_an_empty_table_and_nulls(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, Curve_ int, shard_ string"
+    hilbert.write_shards(spark.createDataFrame([], schema), f"{tmp_path}/none")
+    assert not any(n.endswith(".parquet") for _, _, names in os.walk(f"{tmp_path}/none") for n in names)
+    rows = [(k, None if k % 3 else "t", None if k % 2 else "en", None, None, k, "x") for k in range(20)] * 2
+    hilbert.write_shards(spark.createDataFrame(rows, schema), f"{tmp_path}/some", shards=3)
+    back = spark.read.parquet(f"{tmp_path}/some")
+    assert sorted((tuple(r[c] for c in ("doc_id", "text", "lang", "source", "n_chars", "Curve_", "shard_")) for r in back.collect()), key=repr) == sorted(rows, key=repr)

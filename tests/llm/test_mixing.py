@@ -90,6 +90,10 @@ def test_mixed_rows_are_repeated_as_told(spark):
     want = sorted(repr((x.doc_id, x.copies_, x.col)) for x in told.collect() for _ in range(x.copies__))
     got = mixing.mixed(docs, labels, F.col("toxic").cast("string"), {"0": 0.95, "1": 0.05})
     assert got.columns == docs.columns and sorted(repr((x.doc_id, x.copies_, x.col)) for x in got.collect()) == want
+    upper = docs.withColumnRenamed("copies_", "COPIES_")
+    again = mixing.mixed(upper, labels, F.col("toxic").cast("string"), {"0": 0.95, "1": 0.05})
+    assert again.columns == upper.columns and again.count() == len(want)
+    assert mixing.mixed(docs.limit(0), labels, F.col("toxic").cast("string"), {"0": 0.95, "1": 0.05}).count() == 0
 
 
 def test_query_meets_targets_and_labels(spark):
