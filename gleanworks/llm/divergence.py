@@ -40,7 +40,7 @@ TOP = 10
 SCALE = 1_000_000_000
 SMOOTHING = 2
 BLOCK_GROUPS, MAX_BLOCK_GROUPS, BLOCKS = 4, 256, 64
-CELL_ENTRIES = 1 << 17
+CELL_ENTRIES = 1 << 14
 #: Entries of the dictionaries that a task counts in before it sends them on.
 HELD_TERMS = 1 << 18
 #: Letters, lower-cased, and all bytes beyond ASCII stay; every other byte becomes a blank.
