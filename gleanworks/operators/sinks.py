@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from gleanworks.functions import text as X
-from gleanworks.operators.dedup import last_wins
+from gleanworks.operators.dedup import first_wins, last_wins
 from gleanworks.schemas import GAME_FIELDS, GAME_KEY, GAMES, SCHOOL_FIELDS, SCHOOL_KEY, SCHOOLS
 from gleanworks.storage import file_system, fresh, join_files, names_in, read_text, remove, size_of, write_text
 
@@ -160,17 +160,21 @@ def append_table(df: DataFrame, path: str) -> None:
     raise ConcurrentWrite(f"{path} was changed by other writers {ATTEMPTS} times")
 
 
-def upsert_table(updates: DataFrame, path: str, keys: list[str], seq: str, batch: tuple[str, int] | None = None) -> None:
-    """Apply ``updates`` to the table at ``path``, the latest ``seq`` of a key winning.
+def _winners(df: DataFrame, keys: list[str], seq: str, first: bool) -> DataFrame:
+    return first_wins(df, keys, F.col(seq), keep_null_keys=True) if first else last_wins(df, keys, F.col(seq))
 
-    A null ``seq`` is older than any other. Rows with a null key never collapse and are added. The table
+
+def upsert_table(updates: DataFrame, path: str, keys: list[str], seq: str, batch: tuple[str, int] | None = None, first: bool = False) -> None:
+    """Apply ``updates`` to the table at ``path``, the latest ``seq`` of a key winning; the earliest, if ``first``.
+
+    A row with a null ``seq`` loses to any other. Rows with a null key never collapse and are added. The table
     must have been made by upserts with these keys, or by ``write_table`` with them. Only the buckets of the
     updates' keys are read and written. Columns that one side lacks are null. If another writer commits
     meanwhile, the work is done again on its table. ``batch`` (name, number): nothing is done if that
     number of the name, or a later one, has been applied.
     """
     spark, staged = updates.sparkSession, f"{path}/staged-{uuid.uuid4().hex}"
-    last_wins(updates, keys, F.col(seq)).write.parquet(staged)
+    _winners(updates, keys, seq, first).write.parquet(staged)
     try:
         new = spark.read.schema(updates.schema).parquet(staged)
         keyed, loose = new.where(~_no_key(keys)), None
@@ -181,7 +185,7 @@ def upsert_table(updates: DataFrame, path: str, keys: list[str], seq: str, batch
             if before["schema"] and before["keys"] != keys:
                 raise ValueError(f"the table at {path} is kept by {before['keys']}, not by {keys}")
             loose = _write_loose(new.where(_no_key(keys)), path) if loose is None else loose
-            made = _merge(keyed, path, keys, seq, before, size_of(spark, staged))
+            made = _merge(keyed, path, keys, seq, before, size_of(spark, staged), first)
             made |= {"loose": made["loose"] + loose, "batches": before["batches"] | ({batch[0]: batch[1]} if batch else {})}
             if _commit(spark, path, made):
                 return
@@ -190,7 +194,7 @@ def upsert_table(updates: DataFrame, path: str, keys: list[str], seq: str, batch
         remove(spark, staged)
 
 
-def _merge(new: DataFrame, path: str, keys: list[str], seq: str, before: dict, size: int) -> dict:
+def _merge(new: DataFrame, path: str, keys: list[str], seq: str, before: dict, size: int, first: bool) -> dict:
     """The state after ``new`` is merged into the buckets of ``before``."""
     spark = new.sparkSession
     buckets = _grown(spark, path, before["parts"], before["buckets"], size)
@@ -205,7 +209,7 @@ def _merge(new: DataFrame, path: str, keys: list[str], seq: str, before: dict, s
         schema = _read(spark, path, before, []).unionByName(new, allowMissingColumns=True).schema
     else:
         schema = new.schema
-    parts = _write_buckets(last_wins(both, keys, F.col(seq)), path, keys, buckets) if touched or touched is None else {}
+    parts = _write_buckets(_winners(both, keys, seq, first), path, keys, buckets) if touched or touched is None else {}
     kept = {} if touched is None else {b: f for b, f in before["parts"].items() if b not in touched}
     return before | {"parts": kept | parts, "schema": schema.jsonValue(), "keys": keys, "buckets": buckets}
 
