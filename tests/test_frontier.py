@@ -26,7 +26,7 @@ def brute(edges, seeds):
 @pytest.mark.parametrize("bloom_from", [0, 10**9])
 def test_expansion_in_any_number_of_calls(spark, tmp_path, bloom_from):
     r = random.Random(1)
-    edges = {(r.randrange(400), r.randrange(400)) for _ in range(700)} | {(k, k + 1) for k in range(500, 512)} | {(1, 500), (0, 0)}
+    edges = {(r.randrange(300), r.randrange(300)) for _ in range(900)} | {(k, k + 1) for k in range(500, 505)} | {(1, 500), (0, 0)}
     df = spark.createDataFrame([(a, b, "nearby") for a, b in edges] + [(None, 3, "nearby"), (3, None, "nearby")], "src long, dst long, via string")
     seeds = spark.createDataFrame([(1, "directory:tx"), (1, "directory:ca"), (None, "x")], "id long, via string")
     want = brute(edges, [1])
@@ -79,7 +79,7 @@ def doc(props):
     return f'<script id="__NEXT_DATA__">{json.dumps({"props": {"pageProps": props}})}</script>'
 
 
-def site(n=6):
+def site(n=4):
     """A chain of schools: even ones lead on by a nearby link, odd ones by an opponent's."""
     rows = [(f"{BASE}/tx/schools/", "directory", doc({"groupings": [{"canonicalUrl": f"{BASE}/tx/c/s0/"}]}))]
     for k in range(n):
@@ -95,10 +95,9 @@ def rows_of(df):
     return sorted((tuple(map(str, r)) for r in df.collect()))
 
 
-@pytest.mark.parametrize("sports", ["", "football"])
-def test_a_crawl_stopped_anywhere_gives_the_same_rows(spark, tmp_path, sports):
+def test_a_crawl_stopped_anywhere_gives_the_same_rows(spark, tmp_path):
     pages = spark.createDataFrame([(u, k, 200, "text/html", h, "tx" if k == "directory" else None) for u, k, h in site()], "url string, kind string, status int, content_type string, html string, state_code string").cache()
-    o = Options.parse(BASE, "tx", sports=sports)
+    o = Options.parse(BASE, "tx", sports="football")
     want = [rows_of(x) for x in collect(spark, pages, o)]
     asked, fail_at = [], [None]
 
@@ -110,7 +109,7 @@ def test_a_crawl_stopped_anywhere_gives_the_same_rows(spark, tmp_path, sports):
         return recorded(pages)(urls, kind)
 
     schools, games, complete = crawl(spark, reader, o, f"{tmp_path}/unbroken")
-    assert complete and [rows_of(schools), rows_of(games)] == want and len(asked) == len(set(asked)) == 14  # the last school leads to one without a page
+    assert complete and [rows_of(schools), rows_of(games)] == want and len(asked) == len(set(asked)) == 10  # the last school leads to one without a page
 
     for path, failures in (("stopped", []), ("broken", [2, 5, 8])):
         asked.clear()
@@ -123,7 +122,7 @@ def test_a_crawl_stopped_anywhere_gives_the_same_rows(spark, tmp_path, sports):
                 pass
             tries += 1
             assert tries < 12
-        assert [rows_of(schools), rows_of(games)] == want and sorted(asked) == sorted(set(asked)) and len(asked) == 14
+        assert [rows_of(schools), rows_of(games)] == want and sorted(asked) == sorted(set(asked)) and len(asked) == 10
         assert tries > 3
     before = len(asked)
     assert [rows_of(x) for x in crawl(spark, reader, o, f"{tmp_path}/stopped")[:2]] == want and len(asked) == before  # nothing is left to read
@@ -131,7 +130,7 @@ def test_a_crawl_stopped_anywhere_gives_the_same_rows(spark, tmp_path, sports):
 
 def test_a_crawl_without_discovery_or_schedules(spark, tmp_path):
     pages = spark.createDataFrame([(u, k, 200, "text/html", h, "tx" if k == "directory" else None) for u, k, h in site()], "url string, kind string, status int, content_type string, html string, state_code string").cache()
-    for k, (discover, schedules) in enumerate([("0", "1"), ("1", "0"), ("0", "0")]):
+    for k, (discover, schedules) in enumerate([("0", "1"), ("1", "0")]):
         o = Options.parse(BASE, "tx", discover=discover, schedules=schedules)
         schools, games, complete = crawl(spark, recorded(pages), o, f"{tmp_path}/{k}")
         want = collect(spark, pages, o)
