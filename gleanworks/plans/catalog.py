@@ -233,6 +233,170 @@ def two_attempt_match(spark, d):
 # Scalar functions
 
 
+@_query(r"""SELECT p_partkey, trim(regexp_replace(regexp_replace(regexp_replace(lower(p_name), '[^a-z0-9 ]', ' ', 'g'), '\b(widget|plate)\b', ' ', 'g'), '\s+', ' ', 'g')) AS norm FROM part""")
+def normalize_names(spark, d):
+    return _t(spark, d, "part").select("p_partkey", X.normalize_name(F.col("p_name"), r"\b(widget|plate)\b").alias("norm"))
+
+
+_INFO = "'W ' || CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || ' - ' || CAST(l_linenumber AS VARCHAR)"
+
+
+@_query(rf"""SELECT l_orderkey, l_linenumber, regexp_extract({_INFO}, '^\s*([WLT])\b', 1) AS result,
+replace(regexp_extract({_INFO}, '\b(\d{{1,3}}\s*-\s*\d{{1,3}})\b', 1), ' ', '') AS score FROM lineitem""")
+def parse_result_score(spark, d):
+    info = F.concat(F.lit("W "), F.col("l_quantity").cast("long").cast("string"), F.lit(" - "), F.col("l_linenumber").cast("string"))
+    return _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", X.result_of(info).alias("result"), X.score_of(info).alias("score"))
+
+
+_OPP = "CASE o_orderkey % 3 WHEN 0 THEN '@' WHEN 1 THEN 'vs ' ELSE '' END || o_orderpriority || CASE WHEN o_orderkey % 2 = 0 THEN '**' ELSE '' END"
+
+
+@_query(rf"""SELECT o_orderkey, CASE WHEN starts_with({_OPP}, '@') THEN 'away' ELSE 'home' END AS home_away,
+trim(regexp_replace(regexp_replace(trim(regexp_replace({_OPP}, '^@+', '')), '^(?i)vs ', ''), '\*+$', '')) AS opponent FROM orders""")
+def opponent_clean(spark, d):
+    k = F.col("o_orderkey") % 3
+    raw = F.concat(F.when(k == 0, "@").when(k == 1, "vs ").otherwise(""), "o_orderpriority", F.when(F.col("o_orderkey") % 2 == 0, "**").otherwise(""))
+    return _t(spark, d, "orders").select("o_orderkey", X.home_away(raw).alias("home_away"), X.clean_opponent(raw).alias("opponent"))
+
+
+@_query("SELECT o_orderkey, trim(CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority ELSE '' END || ' ' || CAST(year(o_orderdate) AS VARCHAR)) AS season FROM orders")
+def season_label(spark, d):
+    return _t(spark, d, "orders").select("o_orderkey", X.season_label(F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderpriority")), F.year("o_orderdate").cast("string")).alias("season"))
+
+
+@_query("""SELECT page_id, regexp_replace(url, '/+$', '') || CASE WHEN regexp_replace(url, '/+$', '') LIKE '%/schedule' THEN '/' ELSE '/schedule/' END AS schedule_url FROM pages""")
+def schedule_url(spark, d):
+    return _t(spark, d, "pages").select("page_id", X.schedule_url(F.col("url")).alias("schedule_url"))
+
+
+@_query("""WITH p AS (SELECT page_id, string_split(regexp_replace(url, '^/+|/+$', '', 'g'), '/') AS s FROM pages)
+SELECT page_id, CAST(len(s) AS BIGINT) AS depth, s[1] AS head, CASE WHEN len(s) >= 3 THEN '/' || array_to_string(s[1:3], '/') || '/' END AS root FROM p""")
+def path_root(spark, d):
+    parts = X.path_parts(F.col("url"), "\x00")
+    return _t(spark, d, "pages").select("page_id", F.size(parts).cast("long").alias("depth"), parts[0].alias("head"), F.regexp_replace(X.school_root(F.col("url"), "\x00"), "^\x00", "").alias("root"))
+
+
+@_query("""SELECT o_custkey, string_agg(DISTINCT o_orderpriority || ' (' || o_orderstatus || ')', '; ' ORDER BY o_orderpriority || ' (' || o_orderstatus || ')') AS sports,
+count(DISTINCT o_orderpriority || o_orderstatus) AS sports_count FROM orders GROUP BY o_custkey""")
+def distinct_labels(spark, d):
+    s = F.collect_set(F.struct(F.col("o_orderpriority").alias("sport"), F.col("o_orderstatus").alias("gender")))
+    labels = _t(spark, d, "orders").groupBy("o_custkey").agg(s.alias("s")).select("o_custkey", X.sport_labels(F.col("s")).alias("sports"))
+    return labels.select("o_custkey", X.joined(F.col("sports")).alias("sports"), F.size("sports").cast("long").alias("sports_count"))
+
+
+@_query("SELECT o_custkey, bool_or(lower(trim(split_part(o_orderpriority || ' (x)', ' (', 1))) = '1-urgent') AS offered FROM orders GROUP BY o_custkey")
+def school_offers(spark, d):
+    s = _t(spark, d, "orders").groupBy("o_custkey").agg(F.collect_set(F.concat("o_orderpriority", F.lit(" (x)"))).alias("s"))
+    return s.select("o_custkey", X.offers(F.col("s"), ["1-URGENT "]).alias("offered"))
+
+
+@_query("SELECT c_custkey, coalesce(nullif(CASE WHEN c_custkey % 3 = 0 THEN '' WHEN c_custkey % 3 = 1 THEN NULL ELSE c_name END, ''), c_mktsegment) AS first FROM customer")
+def truthy_or(spark, d):
+    k = F.col("c_custkey") % 3
+    return _t(spark, d, "customer").select("c_custkey", X.first_truthy(F.when(k == 0, "").when(k == 2, F.col("c_name")), F.col("c_mktsegment")).alias("first"))
+
+
+@_query("SELECT doc_id, regexp_matches(lower(text), 'error|slot|casino|poker|judi|not found|forbidden') AS junk FROM (SELECT doc_id, 'page ' || source || CASE doc_id % 3 WHEN 0 THEN ' Terrorer' WHEN 1 THEN ' Slots here' ELSE ' fine' END AS text FROM documents)")
+def junk_filter(spark, d):
+    k = F.col("doc_id") % 3
+    t = F.concat(F.lit("page "), "source", F.when(k == 0, " Terrorer").when(k == 1, " Slots here").otherwise(" fine"))
+    return _t(spark, d, "documents").select("doc_id", X.is_junk(t).alias("junk"))
+
+
+@_query("""SELECT a.c_custkey AS a, b.c_custkey AS b, CASE WHEN a.c_custkey % 5 = 0 OR b.c_custkey % 7 = 0 THEN true ELSE left(a.c_mktsegment, 4) = left(b.c_mktsegment, 4) END AS agrees
+FROM customer a JOIN customer b ON b.c_custkey = a.c_custkey + 1""")
+def agree_matrix(spark, d):
+    c = _t(spark, d, "customer")
+    a = c.select(F.col("c_custkey").alias("a"), F.when(F.col("c_custkey") % 5 != 0, F.col("c_mktsegment")).alias("ca"))
+    b = c.select(F.col("c_custkey").alias("b"), (F.col("c_custkey") - 1).alias("a"), F.when(F.col("c_custkey") % 7 != 0, F.upper("c_mktsegment")).alias("cb"))
+    no = F.lit("")
+    return a.join(b, "a").select("a", "b", X.agrees(F.col("cb"), no, F.col("ca"), no, F.lit(False)).alias("agrees"))
+
+
+@_query("SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN trim(c_name) ELSE c_mktsegment END AS original_name FROM customer")
+def fallback_name(spark, d):
+    c = _t(spark, d, "customer")
+    return c.select("c_custkey", X.first_truthy(F.when(F.col("c_custkey") % 4 != 0, F.col("c_mktsegment")), X.strip(F.col("c_name"))).alias("original_name"))
+
+
+@_query("SELECT c_custkey, c_mktsegment || '!' AS c_name FROM customer")
+def column_append_idempotent(spark, d):
+    cols = {"c_name": F.concat("c_mktsegment", F.lit("!"))}
+    return enrich.append(enrich.append(_t(spark, d, "customer"), cols), cols).select("c_custkey", "c_name")
+
+
+# Pages
+
+
+@_query(r"SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, regexp_extract(html, '<h1[^>]*>([^<]*)', 1) AS h1 FROM (SELECT page_id, replace(replace(html, '&amp;', '+'), '&', '+') AS html FROM pages)")
+def page_title_h1(spark, d):
+    t = _t(spark, d, "pages").select("page_id", H.titles(F.replace(F.replace("html", F.lit("&amp;"), F.lit("+")), F.lit("&"), F.lit("+"))).alias("t"))
+    return t.select("page_id", X.nz(F.col("t.title")).alias("title"), X.nz(F.col("t.h1")).alias("h1"))
+
+
+@_query(r"SELECT page_id, regexp_extract(html, '(?s)<script[^>]*>(.*?)</script>', 1) AS script FROM pages")
+def embedded_script(spark, d):
+    marked = F.regexp_replace("html", "<script", '<script id="__NEXT_DATA__" x="y"')
+    return _t(spark, d, "pages").select("page_id", H.embedded(marked).alias("script"))
+
+
+@_query("SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN json_extract_string(props, '$.k') END AS k FROM events")
+def json_field(spark, d):
+    body = F.concat(F.lit('{"props":{"pageProps":{"schoolContext":{"schoolId":'), F.coalesce(F.get_json_object("props", "$.k"), F.lit("null")), F.when(F.col("event_id") % 7 == 0, "").otherwise("}}}}"))
+    pages = _t(spark, d, "events").select("event_id", F.concat(F.lit('<p><script id="__NEXT_DATA__" type="application/json">'), body, F.lit("</script>")).alias("html"))
+    return extract.with_props(pages).select("event_id", F.col("props.schoolContext.schoolId").alias("k"))
+
+
+@_query("""WITH l AS (SELECT l_orderkey, l_linenumber, l_shipmode FROM (SELECT l_orderkey, l_linenumber, l_returnflag || l_linestatus AS l_shipmode FROM lineitem)),
+i AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_shipmode) - 1 AS game_index FROM l)
+SELECT l_orderkey, CAST(game_index AS INTEGER) AS game_index, CAST(l_linenumber AS VARCHAR) AS date, 'to ' || l_shipmode AS opponent, '/s/' || l_shipmode AS href FROM i WHERE l_linenumber % 3 <> 0""")
+def schedule_rows(spark, d):
+    flags = F.concat("l_returnflag", "l_linestatus")
+    cells = F.when(F.col("l_linenumber") % 3 == 0, "").otherwise(F.concat(F.lit('<td> <a href="/s/'), flags, F.lit('">to <b>'), flags, F.lit("</b></a></td>")))
+    row = F.concat(F.lit("<tr><td>"), F.col("l_linenumber").cast("string"), F.lit("</td>"), cells, F.lit("</tr>"))
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", row.alias("r")))), lambda x: x["r"]), "")
+    pages = _t(spark, d, "lineitem").groupBy("l_orderkey").agg(body.alias("b"))
+    html = F.concat(F.lit("<table><tr><td>none</table><div><table><tr><th>Date<th>Opponent</tr><tbody>"), "b", F.lit("</tbody></table></div>"))
+    first = pages.select("l_orderkey", F.explode(H.schedule_table(html)["rows"]).alias("r"))
+    # The heading's row has no cell, and so no place.
+    return first.select("l_orderkey", F.col("r.game_index").alias("game_index"), F.col("r.cells")[0].alias("date"), F.col("r.cells")[1].alias("opponent"), F.col("r.opp_href").alias("href"))
+
+
+@_query("""WITH g AS (SELECT l_orderkey, l_linenumber, l_returnflag || l_linestatus AS f,
+  CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_returnflag || l_linestatus) - 1 AS INTEGER) AS game_index FROM lineitem)
+SELECT l_orderkey, game_index, CAST(l_linenumber AS VARCHAR) AS date, 'to ' || f AS opponent, '/s/' || f AS href FROM g WHERE l_linenumber % 3 <> 0""")
+def schedule_rows_sql(spark, d):
+    names.register(spark)
+    return spark.sql(
+        """WITH l AS (SELECT l_orderkey, l_linenumber, concat(l_returnflag, l_linestatus) AS f FROM {lineitem}),
+        r AS (SELECT l_orderkey, l_linenumber, concat('<tr><td>', l_linenumber, '</td>', CASE WHEN l_linenumber % 3 <> 0 THEN concat('<td> <a href="/s/', f, '">to <b>', f, '</b></a></td>') ELSE '' END, '</tr>') AS tr FROM l),
+        p AS (SELECT l_orderkey, concat('<table><tr><th>Date<th>Opponent</tr><tbody>', array_join(transform(array_sort(collect_list(struct(l_linenumber, tr))), x -> x.tr), ''), '</tbody></table>') AS html FROM r GROUP BY l_orderkey)
+        SELECT p.l_orderkey, t.game_index, t.date, t.opponent, t.opp_href AS href FROM p, LATERAL schedule_table(p.html, 'date, opponent') AS t""",
+        lineitem=_t(spark, d, "lineitem"),
+    )
+
+
+_JUNK_SQL = "|".join("".join("\\" + x if x in "()." else "''" if x == "'" else x for x in part) for part in X.JUNK)
+_TITLE = "CASE page_id % 3 WHEN 0 THEN 'Home | ' WHEN 1 THEN 'Error 404 - page not found: try again later - ' ELSE '' END || replace(replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&amp;', '+'), '&', '+')"
+
+
+@_query(rf"""WITH t AS (SELECT page_id, regexp_replace(trim(regexp_replace({_TITLE}, '\s+', ' ', 'g')), '(?i)^(home|welcome(\s+to)?)\b[\s:|\-–—]*', '') AS t FROM pages),
+s AS (SELECT page_id, unnest(string_split_regex(t, '\s*[|\-–—•»·:]\s*')) AS x, generate_subscripts(string_split_regex(t, '\s*[|\-–—•»·:]\s*'), 1) AS i FROM t),
+j AS (SELECT page_id, trim(x) AS x, i, regexp_matches(lower(trim(x)), '{_JUNK_SQL}') OR regexp_matches(lower(trim(x)), '^(https?://)?[\w-]+(\.[\w-]+)+(/\S*)?$') AS junk FROM s WHERE trim(x) <> '')
+SELECT page_id, x AS name FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY junk, length(x) DESC, i) AS rn FROM j) WHERE rn = 1""")
+def title_longest_segment(spark, d):
+    title = H.titles(F.replace(F.replace("html", F.lit("&amp;"), F.lit("+")), F.lit("&"), F.lit("+")))["title"]
+    k = F.col("page_id") % 3
+    lead = F.when(k == 0, "Home | ").when(k == 1, "Error 404 - page not found: try again later - ").otherwise("")
+    named = _t(spark, d, "pages").select("page_id", F.concat(lead, title).alias("t"))
+    return named.select("page_id", X.clean_title(F.col("t")).alias("name"))
+
+
+@_query("SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n FROM events GROUP BY ALL")
+def event_tumbling(spark, d):
+    return upsert.tumbling_counts(_t(spark, d, "events")).select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n")
+
+
 _SIZE_INFO = "CASE p_size % 4 WHEN 0 THEN ' W ' WHEN 1 THEN 'L' WHEN 2 THEN 'Tie ' ELSE 'T ' END || p_size || ' - 7'"
 
 
