@@ -201,11 +201,40 @@ def subset_blocked(spark, d):
     return m.where("match_kind = 'fuzzy'").select("key", "match_id")
 
 
-@_query(None)
+# The last tier's blocks: b is the longest block of a window as 1000 * size + 999 - place, so that the first of the longest is the greatest.
+def _tiers_sql(cutoff: float) -> str:
+    return f"""WITH RECURSIVE {_ROWS}, rn AS (SELECT *, lower(name) AS n, list_distinct(string_split(lower(name), ' ')) AS w FROM r),
+cn AS (SELECT *, lower(name) AS n, list_distinct(string_split(lower(name), ' ')) AS w FROM c),
+x AS (SELECT rn.key, min(cn.id) FILTER (left(rn.city, 4) = left(cn.city, 4)) AS id FROM rn JOIN cn ON rn.st = cn.st AND rn.n = cn.n GROUP BY rn.key),
+s AS (SELECT rn.key, arg_min(cn.id, (abs(len(rn.w) - len(cn.w)), cn.id)) AS id FROM rn ANTI JOIN x USING (key) JOIN cn ON rn.st = cn.st
+  WHERE (list_has_all(rn.w, cn.w) OR list_has_all(cn.w, rn.w)) AND left(rn.city, 4) = left(cn.city, 4) GROUP BY rn.key),
+o AS (SELECT rn.* FROM rn ANTI JOIN x USING (key) ANTI JOIN s USING (key)),
+p AS (SELECT DISTINCT o.st, o.n, cn.n AS c FROM o JOIN cn ON o.st = cn.st WHERE 2.0 * least(length(o.n), length(cn.n)) / (length(o.n) + length(cn.n)) >= {cutoff}),
+v AS (SELECT st, n, c, 0 AS al, length(c) AS ah, 0 AS bl, length(n) AS bh, 0 AS k FROM p
+  UNION ALL SELECT st, n, c, CASE WHEN side THEN al ELSE i + k END, CASE WHEN side THEN i ELSE ah END, CASE WHEN side THEN bl ELSE j + k END, CASE WHEN side THEN j ELSE bh END, CASE WHEN side THEN k ELSE 0 END
+  FROM (SELECT *, bl + instr(substr(n, bl + 1, bh - bl), substr(c, i + 1, k)) - 1 AS j FROM (
+    SELECT st, n, c, al, ah, bl, bh, CAST(b // 1000 AS INTEGER) AS k, CAST(999 - b % 1000 AS INTEGER) AS i FROM (
+      SELECT st, n, c, al, ah, bl, bh, list_max(list_transform(range(al, ah), lambda i: 999 - i + 1000 * list_max(list_filter(range(0, ah - i + 1), lambda m: contains(substr(n, bl + 1, bh - bl), substr(c, CAST(i AS INTEGER) + 1, CAST(m AS INTEGER))))))) AS b
+      FROM v WHERE al < ah AND bl < bh) WHERE b >= 1000)), (VALUES (true), (false)) AS sides(side)),
+m AS (SELECT st, n, c, 2.0::DOUBLE * sum(k) / (length(n) + length(c)) AS ratio FROM v GROUP BY st, n, c),
+t AS (SELECT st, n, arg_max(c, (ratio, c)) AS c FROM m WHERE ratio >= {cutoff} GROUP BY st, n),
+f AS (SELECT o.key, o.city, min(cn.id) AS id FROM o JOIN t ON o.st = t.st AND o.n = t.n JOIN cn ON cn.st = t.st AND cn.n = t.c GROUP BY o.key, o.city),
+g AS (SELECT key, id, 'exact' AS kind FROM x WHERE id IS NOT NULL UNION ALL SELECT key, id, 'fuzzy' FROM s
+  UNION ALL SELECT f.key, f.id, 'fuzzy' FROM f JOIN cn ON cn.id = f.id WHERE left(f.city, 4) = left(cn.city, 4))
+SELECT r.key, CAST(g.id AS VARCHAR) AS match_id, coalesce(g.kind, 'none') AS match_kind FROM r LEFT JOIN g USING (key)"""
+
+
+@_query(_tiers_sql(0.87))
 def fuzzy_match(spark, d):
     return match.match_tickets(*_ticket_rows(spark, d)).select("key", "match_id", "match_kind")
 
 
+@_query(_tiers_sql(0.7))
+def fuzzy_rivals(spark, d):
+    """As ``fuzzy_match``, at a cut-off that many names of a state reach."""
+    return match.match_tickets(*_ticket_rows(spark, d), cutoff=0.7).select("key", "match_id", "match_kind")
+
+
 @_query(f"""WITH {_ROWS}, e AS (SELECT r.key, count(*) AS n, min(c.id) AS first, min(c.id) FILTER (left(r.city, 4) = left(c.city, 4)) AS ok FROM r JOIN c ON r.st = c.st AND r.name = c.name GROUP BY r.key)
 SELECT key, CAST(CASE WHEN n = 1 THEN first ELSE coalesce(ok, first) END AS VARCHAR) AS match_id FROM e""")
 def network_exact(spark, d):
