@@ -10,17 +10,25 @@ def _whole(df: DataFrame) -> Column:
     return F.struct(*[F.col(f"`{c}`") for c in df.columns])
 
 
-def _pick(df: DataFrame, keys: list[str], order: Column, last: bool) -> DataFrame:
-    """One row for each key by a partial aggregate, so that a hot key is reduced before the shuffle.
+def place(df: DataFrame, order: Column, last: bool) -> Column:
+    """What rows of ``df`` are compared by.
 
     Rows without an order come behind all that have one: they are the earliest where the last wins
     and the latest where the first wins. Rows equal in order are told apart by a hash of the row,
     so that a rerun picks the same one.
     """
     hashed = [F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
-    place = F.struct((order.isNotNull() if last else order.isNull()).alias("known"), order.alias("order"), F.xxhash64(*hashed).alias("tie"))
-    best = (F.max_by if last else F.min_by)(_whole(df), place)
-    return df.groupBy(*[F.col(k).alias(f"key_{i}_") for i, k in enumerate(keys)]).agg(best.alias("row_")).select("row_.*")
+    return F.struct((order.isNotNull() if last else order.isNull()).alias("known"), order.alias("order"), F.xxhash64(*hashed).alias("tie"))
+
+
+def best(df: DataFrame, order: Column, last: bool) -> Column:
+    """The whole row of ``df`` that is first in ``order`` (or last), as a partial aggregate, also in streams."""
+    return (F.max_by if last else F.min_by)(_whole(df), place(df, order, last))
+
+
+def _pick(df: DataFrame, keys: list[str], order: Column, last: bool) -> DataFrame:
+    """One row for each key by a partial aggregate, so that a hot key is reduced before the shuffle."""
+    return df.groupBy(*[F.col(k).alias(f"key_{i}_") for i, k in enumerate(keys)]).agg(best(df, order, last).alias("row_")).select("row_.*")
 
 
 def first_wins(df: DataFrame, keys: list[str], order: Column, keep_null_keys: bool = False) -> DataFrame:
@@ -43,9 +51,9 @@ def _split_nulls(df: DataFrame, keys: list[str], pick, keep: bool) -> DataFrame:
 
 def merge_slices(df: DataFrame, key: str, slice_no: str, order: str) -> DataFrame:
     """In a slice the last row of a key wins, over slices the first slice; blank keys are dropped."""
-    place = F.struct(-F.col(slice_no).cast("long"), F.col(order))
+    at = F.struct(-F.col(slice_no).cast("long"), F.col(order))
     held = df.where(F.coalesce(F.col(key).cast("string"), F.lit("")) != "")
-    return _pick(held, [key], place, last=True)
+    return _pick(held, [key], at, last=True)
 
 
 def changed(old: DataFrame, new: DataFrame) -> DataFrame:

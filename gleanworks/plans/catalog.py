@@ -13,7 +13,7 @@ from gleanworks.functions import text as X
 from gleanworks.operators import dedup, enrich, extract, graph, match, sinks
 from gleanworks.schemas import VERIFIED_COLUMN
 from gleanworks.sources import connectors, tables
-from gleanworks.storage import fresh
+from gleanworks.storage import fresh, names_in
 from gleanworks.streaming import finalise, upsert
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -584,7 +584,9 @@ def stream_first(spark, d):
     events = _t(spark, d, "events").select("user_id", "event_id", "event_type", "value")
     for k in range(4):  # files whose order of arrival is not that of the events
         events.where(F.pmod(F.xxhash64("event_id"), F.lit(4)) == k).write.mode("append").parquet(f"{path}/in")
-    rows = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(f"{path}/in")
+    # Two files at a time; of many, a quarter, so that batches don't grow in number with the table.
+    files = sum(n.endswith(".parquet") for n in names_in(spark, f"{path}/in"))
+    rows = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", max(2, -(-files // 4))).parquet(f"{path}/in")
     upsert.stream_first(rows, f"{path}/table", f"{path}/checkpoint", ["user_id"], "event_id").awaitTermination()
     return sinks.read_table(spark, f"{path}/table")
 

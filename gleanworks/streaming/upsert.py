@@ -2,17 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from gleanworks.operators.sinks import upsert_table
-
-
-_JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+from gleanworks.operators.dedup import best, place
+from gleanworks.operators.sinks import free, upsert_table
 
 
 def stream_upsert(items: DataFrame, path: str, checkpoint: str, keys: list[str], seq: str) -> StreamingQuery:
@@ -31,51 +26,24 @@ def emit_once(items: DataFrame, key: str) -> DataFrame:
     return items.where(F.col(key).isNotNull()).dropDuplicates([key])
 
 
-def _first(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One row for each key: that of the least ``seq``, rows without one last."""
-    return pdf.sort_values(["none", "seq"], kind="stable").drop_duplicates([c for c in pdf.columns if c.startswith("key")])
-
-
 def improving(items: DataFrame, keys: list[str], seq: str, lifetime_s: float = 3600.0) -> DataFrame:
-    """The rows of a stream that are not behind what was seen of their key, in order of ``seq``.
+    """The rows of a stream that come before what was seen of their key, in order of ``seq``; for a sink in update mode.
 
-    A stateful processor holds the least ``seq`` of each key and passes on only rows that reach it; rows of a
-    batch are reduced to one for each key before the shuffle, so a hot key is no hot task. State is removed
-    ``lifetime_s`` after a key was last seen, so it is bounded by the keys of that time; a key that comes
-    later passes again, which a sink that compares ``seq`` itself sets right. Rows with a null key are dropped;
-    a row without a ``seq`` is behind any that has one.
+    A streaming aggregate holds the first row of each key and passes it on only in the batch that brought
+    it; rows are reduced to one for each key before the shuffle, so a hot key is no hot task. Keys are held
+    by windows of ``lifetime_s``, whose state goes when they are over, so it is bounded by the keys of that
+    time; a key that comes later passes again, which a sink that compares ``seq`` itself sets right. Rows
+    with a null key are dropped; a row without a ``seq`` is behind any that has one.
 
     A row's time is that of the batch that reads it, so none is ever late; the watermark follows the batches.
-    Rows travel as JSON text, in which whole numbers stay whole whatever is null beside them.
     """
-    kind = dict(items.dtypes)[seq]
-    place = F.coalesce(seq, F.lit(0).cast(kind)) if kind in ("tinyint", "smallint", "int", "bigint") else F.col(seq)
-    named = [F.col(k).alias(f"key{i}") for i, k in enumerate(keys)]
-    timed = items.dropna(subset=keys).select(*named, F.col(seq).isNull().alias("none"), place.alias("seq"), F.to_json(F.struct("*"), _JSON | {"ignoreNullFields": "false"}).alias("row"), F.current_timestamp().alias("seen"))
-    names = timed.columns[: len(keys)]
-
-    def reduced(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        yield from map(_first, batches)
-
-    def run(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        best, at = (state.get if state.exists else None), 0
-        for pdf in batches:
-            row = _first(pdf)
-            none, now = bool(row["none"].iloc[0]), row["seq"].iloc[0]
-            now = now.item() if hasattr(now, "item") else now
-            at = max(at, int(pdf["seen"].iloc[0].timestamp() * 1000))
-            if best is None or (best[0] and not none) or (not best[0] and not none and now <= best[1]):
-                best = (none, now)
-                yield row[["row"]]
-        state.update(tuple(best))
-        state.setTimeoutTimestamp(max(at, state.getCurrentWatermarkMs()) + max(1, int(lifetime_s * 1000)))
-
-    held = timed.mapInPandas(reduced, timed.schema).withWatermark("seen", "0 seconds")
-    kept = held.groupBy(*names).applyInPandasWithState(run, "row string", f"none boolean, seq {kind}", "append", "EventTimeTimeout")
-    return kept.select(F.from_json("row", items.schema, _JSON).alias("row")).select("row.*")
+    seen, last, row = (free(name, items.columns) for name in ("seen_", "last_", "row_"))
+    timed = items.dropna(subset=keys).withColumn(seen, F.current_timestamp()).withWatermark(seen, "0 seconds")
+    span = F.window(seen, f"{max(1, int(lifetime_s * 1000))} milliseconds")
+    # The hash that tells rows apart is of the items' own columns, as in the table.
+    arrived = F.struct(best(items, F.col(seq), last=False).alias("item"), F.min_by(F.col(seen), place(items, F.col(seq), last=False)).alias("at"))
+    held = timed.groupBy(span, *[F.col(k).alias(f"key_{i}_") for i, k in enumerate(keys)]).agg(arrived.alias(row), F.max(seen).alias(last))
+    return held.where(F.col(row)["at"] == F.col(last)).select(F.col(row)["item"].alias(row)).select(f"{row}.*")
 
 
 def stream_first(items: DataFrame, path: str, checkpoint: str, keys: list[str], seq: str, lifetime_s: float = 3600.0) -> StreamingQuery:
@@ -83,8 +51,15 @@ def stream_first(items: DataFrame, path: str, checkpoint: str, keys: list[str],
 
     Rows that can't be first are left out by ``improving`` before they reach the table, which has the last word.
     """
-    put = lambda batch, number: upsert_table(batch, path, keys, seq, (checkpoint, number), first=True)
-    return improving(items, keys, seq, lifetime_s).writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+    def put(batch: DataFrame, number: int) -> None:
+        batch.persist()  # the upsert reads it twice, and each time would take the state's step again
+        try:
+            upsert_table(batch, path, keys, seq, (checkpoint, number), first=True)
+        finally:
+            batch.unpersist()
+
+    return improving(items, keys, seq, lifetime_s).writeStream.outputMode("update").foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def tumbling_counts(events: DataFrame, width: str = "1 hour", late: str = "10 minutes") -> DataFrame:

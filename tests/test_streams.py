@@ -87,3 +87,17 @@ def test_names_in_sql_are_the_library_s(spark):
     assert three.columns == ["id", "game_index", "date", "opponent", "info", "opp_href"]
     assert rows_of(three) == [(1, 0, "1/1", "@S", "", "/a/"), (1, 2, "1/2", "B", "W 3 - 1", None)]
     assert spark.sql("SELECT t.* FROM {p}, LATERAL schedule_table(html, 'date') AS t", p=pages).columns == ["game_index", "date", "opp_href"]
+
+
+def test_a_batch_takes_the_state_s_step_once_and_natively(spark, tmp_path):
+    src = f"{tmp_path}/src"
+    arrive(spark, src, [[(f"k{k}", 9, k, "x") for k in range(30)], [(f"k{k}", 10 if k else 1, k, "y") for k in range(30)]])
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(src)
+    query = upsert.stream_first(stream, f"{tmp_path}/t", f"{tmp_path}/cp", ["k"], "seq")
+    query.awaitTermination()
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress) == 30
+    assert rows_of(sinks.read_table(spark, f"{tmp_path}/t").where("seq < 9")) == [("k0", 1, 0, "y")]
+    passed = upsert.improving(stream, ["k"], "seq").writeStream.outputMode("update").format("memory").queryName("passed")
+    query = passed.option("checkpointLocation", f"{tmp_path}/cp2").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert "Python" not in query._jsq.explainInternal(False) and spark.table("passed").count() == 31
