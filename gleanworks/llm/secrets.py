@@ -9,8 +9,8 @@ few), and lag-one serial correlation. Fisher's rule combines them: small values
 
 False-discovery control is on what is reported. The null hypothesis of a candidate is "an ordinary
 name": names are made in the same way for each family of encodings and each length (powers of two,
-as the tests' power depends on length) from words of the corpus, one word drawn from each
-document, in lower, upper and camel case and with separators, most with a number. A candidate's score
+as the tests' power depends on length) from the corpus's words, all that any of its texts has,
+in lower, upper and camel case and with separators, most with a number. A candidate's score
 is the number of names of its family and length that have its encoding and look at least as random,
 and its p-value the share of all names of that family and length, whatever their encoding, whose own
 score is as low: one order over the family, so that an ordinary name has a p-value of t or less
@@ -20,7 +20,7 @@ expected share of names among what is reported is FDR at most. What the battery
 rejects (combined value below ALPHA) is never reported, whatever names look like; it counts in m.
 Candidates within the threshold are added as kind ``random``.
 
-Counts by stratum and grid cell and at most WORDS words are all that the driver sees. There are as
+Counts by stratum and grid cell and the number of words are all that the driver sees. There are as
 many names as candidates, NAMES for each stratum at least in which anything could be reported, so that the p-values get finer with the
 corpus. A corpus without words in ASCII letters has names made of FALLBACK words.
 """
@@ -32,7 +32,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanworks.llm.common import free_name, materialise
+from gleanworks.llm.common import free_name, materialise, with_rank
 
 FDR = 0.05
 MARK = "[SECRET]"
@@ -44,8 +44,9 @@ CANDIDATE = r"[A-Za-z0-9+/_-]{20,}"
 MIN_RUN = 20
 #: Combined values below this are not random.
 ALPHA = 1e-3
-#: Ordinary names for each family and length at least; words of which they are made at most.
-NAMES, WORDS = 2048, 4096
+#: Ordinary names for each family and length at least.
+NAMES = 2048
+WORD = r"(?<![A-Za-z0-9+/_-])[A-Za-z]{3,12}(?![A-Za-z0-9+/_-])"
 #: Words of ordinary names where the corpus has none to draw from.
 FALLBACK = ("account", "address", "archive", "button", "cache", "client", "column", "config", "counter", "customer", "delete", "document", "element", "export", "field", "filter", "handler", "header", "image", "import", "index", "insert", "invoice", "label", "language", "letter", "manager", "message", "module", "number", "option", "order", "package", "parser", "person", "printer", "profile", "query", "reader", "record", "report", "request", "response", "section", "select", "server", "service", "session", "setting", "status", "stream", "string", "system", "table", "thread", "title", "update", "value", "vector", "window", "writer")
 _KINDS = ("assign", "access", "hex", "random")
@@ -266,38 +267,39 @@ def candidate_counts(found: DataFrame, cands: str) -> DataFrame:
     return c.groupBy(*[F.col(f"c.{k}").alias(k) for k in ("encoding", "bucket", "cell")]).agg(F.count(F.lit(1)).alias("n"))  # at most strata * cells
 
 
-def corpus_words(docs: DataFrame, text_col: str, limit: int = WORDS) -> list[str]:
-    """Words of the corpus: one of each document, drawn from a page of it by a hash; at most ``limit`` by another."""
-    t = F.coalesce(F.col(text_col), F.lit(""))
-    draw = lambda n, what: F.pmod(F.xxhash64(t, F.lit(what)), n.cast("long"))
-    page = F.substr(t, draw(F.greatest(F.length(t) - (1 << _PAGE_BITS), F.lit(0)) + 1, "page").cast("int") + 1, F.lit(1 << _PAGE_BITS))
-    words = F.regexp_extract_all(page, F.lit(r"(?<![A-Za-z0-9+/_-])[A-Za-z]{3,12}(?![A-Za-z0-9+/_-])"), F.lit(0))
-    one = _let(words, lambda w: F.when(F.size(w) > 0, F.get(w, F.pmod(F.xxhash64(F.length(t), F.size(w)), F.size(w).cast("long")).cast("int"))))
-    drawn = docs.select(F.lower(one).alias("w")).where("w is not null").distinct()
-    return [r["w"] for r in drawn.orderBy(F.xxhash64("w"), "w").limit(limit).collect()]  # a bounded list
+def corpus_words(docs: DataFrame, text_col: str) -> tuple[DataFrame, int]:
+    """(w, place): every word that a text has anywhere, with its place from 0 in an order by hash; and their number."""
+    found = F.array_distinct(F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORD), F.lit(0)))
+    return with_rank(docs.select(F.explode(found).alias("w")).select(F.lower("w").alias("w")).distinct(), [F.xxhash64("w"), F.col("w")], "place")
+
 
+def ordinary_names(words: DataFrame, count: int, strata: list[tuple[str, int]], each: int = NAMES) -> DataFrame:
+    """``cands``: (start, end, body) of one name, made of the ``count`` ``words`` (w, place).
 
-def ordinary_names(spark: SparkSession, words: list[str], strata: list[tuple[str, int]], each: int = NAMES) -> DataFrame:
-    """``cands``: (start, end, body) of one name; ``each`` for every (family, bucket) of ``strata``, made of ``words``."""
-    word = F.split(F.lit(" ".join(words)), " ")
+    There are ``each`` for every (family, bucket) of ``strata``; any word may be drawn for any place of a name.
+    """
+    spark = words.sparkSession
     draw = lambda n, *what: F.pmod(F.xxhash64("id", *[F.lit(w) if isinstance(w, str) else w for w in what]), (n if isinstance(n, Column) else F.lit(n)).cast("long")).cast("int")
     rows = spark.range(0, each * len(strata))
     stratum = lambda k: F.element_at(F.split(F.lit(" ".join(str(_FAMILIES.index(x[0]) if k == 0 else x[1]) for x in strata)), " "), (F.col("id") % len(strata)).cast("int") + 1).cast("int")
     family, bucket = stratum(0), stratum(1)
     power = F.pow(F.lit(2), bucket).cast("int")
     least, most = F.greatest(F.lit(MIN_RUN), power), F.least(F.lit(192), power * 2)
-    rows = rows.select("id", family.alias("family"), (least + draw(most - least, "length")).alias("n"), draw(F.lit(2), "at").alias("at"), draw(F.lit(4), "style").alias("style"))
+    length = least + draw(most - least, "length")
+    pieces = rows.select("id", F.explode(F.sequence(F.lit(0), F.floor(length / 3).cast("int"))).alias("i"))  # words have three letters at least
+    drawn = F.pmod(F.xxhash64("id", F.lit("word"), "i"), F.lit(count).cast("long"))
+    joined = pieces.withColumn("place", drawn).join(words, "place").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("i", "w"))).alias("words"))
+    rows = joined.select("id", "words", family.alias("family"), length.alias("n"), draw(F.lit(2), "at").alias("at"), draw(F.lit(4), "style").alias("style"))
     rows = rows.withColumn("at", F.when(F.col("n") < 32, 0).otherwise(F.col("at")))
     number = F.when((F.col("family") < 2) | (draw(4, "bare") > 0), (draw(F.pow(F.lit(10), 1 + draw(4, "digits")), "number")).cast("string")).otherwise("")
 
-    def piece(i: Column) -> Column:
-        w = F.element_at(word, draw(len(words), "word", i) + 1)
+    def piece(p: Column) -> Column:
+        i, w = p["i"], p["w"]
         cased = F.when(F.col("family") == 0, w).when(F.col("family") == 1, F.upper(w)).when(F.col("family") == 2, F.initcap(w)).when(draw(3, "case", i) == 0, F.initcap(w)).otherwise(w)
         mark = F.when(F.col("style") == 0, "/").when(F.col("style") == 1, "_").when((F.col("style") == 2) | (i % 2 == 0), "-").otherwise("/")
         return F.concat(cased, F.when(i == F.col("at"), number).otherwise(""), F.when(F.col("family") == 3, mark).otherwise(""))
 
-    pieces = F.sequence(F.lit(0), F.floor(F.col("n") / 3).cast("int"))  # words have three letters at least
-    body = F.substr(F.array_join(F.transform(pieces, piece), ""), F.lit(1), F.col("n"))
+    body = F.substr(F.array_join(F.transform("words", piece), ""), F.lit(1), F.col("n"))
     made = rows.select(body.alias("body"))
     one = F.array(F.struct(F.lit(0).alias("start"), F.length("body").alias("end"), F.col("body").alias("body")))
     return made.where(_candidate(F.col("body")) & (F.length("body") >= MIN_RUN)).select(one.alias("cands"))
@@ -328,14 +330,16 @@ def thresholds(candidates: dict[tuple[str, int, int], int], names: dict[tuple[st
 
 
 def control(docs: DataFrame, text_col: str, counts: DataFrame, fdr: float = FDR) -> dict[tuple[str, int], int]:
-    """``thresholds`` for the candidates counted in ``counts``, with names from the words of ``docs``."""
+    """``thresholds`` for the candidates counted in ``counts``, with names from all words of ``docs``."""
     by_cell = lambda df: {(r["encoding"], r["bucket"], r["cell"]): r["n"] for r in df.collect()}
     candidates = by_cell(counts)
     strata = sorted({(_FAMILY[e], b) for e, b, cell in candidates if cell <= _last(ALPHA)})
     if not strata:
         return {}
-    words = corpus_words(docs, text_col) or list(FALLBACK)
-    names = ordinary_names(docs.sparkSession, words, strata, max(NAMES, -(-sum(candidates.values()) // len(strata))))
+    words, count = corpus_words(docs, text_col)
+    if not count:
+        words, count = docs.sparkSession.createDataFrame([(w, k) for k, w in enumerate(FALLBACK)], "w string, place long"), len(FALLBACK)
+    names = ordinary_names(words, count, strata, max(NAMES, -(-sum(candidates.values()) // len(strata))))
     return thresholds(candidates, by_cell(candidate_counts(names.select(_battery(F.col("cands")).alias("cands")), "cands")), fdr)
 
 

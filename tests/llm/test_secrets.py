@@ -256,3 +256,15 @@ def test_long_text_of_many_secrets(spark):
         at = max(at, s["end"])
     texts = {r["doc_id"]: r["text"] for r in secrets.redact(docs).collect()}
     assert texts == {1: "".join(want) + text[at:], 2: "plain"}
+
+
+def test_names_are_drawn_from_every_word_of_the_whole_texts(spark):
+    r = random.Random(12)
+    want = sorted({"".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(3, 12))) for _ in range(6000)})
+    texts = [" ".join(w.title() for w in want[k::40]) + " re x9y in_part" + " -" * 5000 + f" last{'abcdefghij'[k % 10]}" for k in range(40)] + [None]
+    words, count = secrets.corpus_words(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "text")
+    held = {x.w: x.place for x in words.collect()}
+    assert set(held) == {*want, *(f"last{c}" for c in "abcdefghij")} and sorted(held.values()) == list(range(count))
+    bodies = {x.cands[0].body for x in secrets.ordinary_names(words, count, [("camel", 6)], 1000).collect()}
+    used = {held.get(w.lower(), -1) for b in bodies for w in re.findall("[A-Z][a-z]+", b)}
+    assert max(used) > 0.99 * count and len(used) > 0.5 * count  # also words beyond any bounded list of them
