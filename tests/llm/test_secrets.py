@@ -268,3 +268,14 @@ def test_names_are_drawn_from_every_word_of_the_whole_texts(spark):
     bodies = {x.cands[0].body for x in secrets.ordinary_names(words, count, [("camel", 6)], 1000).collect()}
     used = {held.get(w.lower(), -1) for b in bodies for w in re.findall("[A-Z][a-z]+", b)}
     assert max(used) > 0.99 * count and len(used) > 0.5 * count  # also words beyond any bounded list of them
+
+
+def test_the_pipeline_s_stage_takes_every_word(spark, monkeypatch):
+    import corpus_pipeline
+
+    r, seen, made = random.Random(13), [], secrets.ordinary_names
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    texts = [" ".join("".join(r.choice(letters) for _ in range(9)) for _ in range(300)) + " key " + "".join(r.choice(letters.upper() + letters + "0123456789") for _ in range(40)) for _ in range(20)]
+    monkeypatch.setattr(secrets, "ordinary_names", lambda words, count, *more: seen.append(count) or made(words, count, *more))
+    out = corpus_pipeline.secrets_stage(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "")
+    assert out.count() == 20 and seen == [len({w for t in texts for w in t.split()[:300]} | {"key"})]
