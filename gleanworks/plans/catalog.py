@@ -380,11 +380,14 @@ def json_field(spark, d):
 i AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_shipmode) - 1 AS game_index FROM l)
 SELECT l_orderkey, CAST(game_index AS INTEGER) AS game_index, CAST(l_linenumber AS VARCHAR) AS date, 'to ' || l_shipmode AS opponent, '/s/' || l_shipmode AS href FROM i WHERE l_linenumber % 3 <> 0""")
 def schedule_rows(spark, d):
-    flags = F.concat("l_returnflag", "l_linestatus")
-    cells = F.when(F.col("l_linenumber") % 3 == 0, "").otherwise(F.concat(F.lit('<td> <a href="/s/'), flags, F.lit('">to <b>'), flags, F.lit("</b></a></td>")))
-    row = F.concat(F.lit("<tr><td>"), F.col("l_linenumber").cast("string"), F.lit("</td>"), cells, F.lit("</tr>"))
-    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", row.alias("r")))), lambda x: x["r"]), "")
-    pages = _t(spark, d, "lineitem").groupBy("l_orderkey").agg(body.alias("b"))
+    # Lines travel as a number and two letters; their rows are written where their page is.
+    lines = F.array_sort(F.collect_list(F.struct(F.col("l_linenumber").alias("n"), F.concat("l_returnflag", "l_linestatus").alias("flags"))))
+
+    def row(x: Column) -> Column:
+        cells = F.when(x["n"] % 3 == 0, "").otherwise(F.concat(F.lit('<td> <a href="/s/'), x["flags"], F.lit('">to <b>'), x["flags"], F.lit("</b></a></td>")))
+        return F.concat(F.lit("<tr><td>"), x["n"].cast("string"), F.lit("</td>"), cells, F.lit("</tr>"))
+
+    pages = _t(spark, d, "lineitem").groupBy("l_orderkey").agg(lines.alias("lines")).select("l_orderkey", F.array_join(F.transform("lines", row), "").alias("b"))
     html = F.concat(F.lit("<table><tr><td>none</table><div><table><tr><th>Date<th>Opponent</tr><tbody>"), "b", F.lit("</tbody></table></div>"))
     first = pages.select("l_orderkey", F.explode(H.schedule_table(html)["rows"]).alias("r"))
     # The heading's row has no cell, and so no place.

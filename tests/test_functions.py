@@ -104,3 +104,24 @@ def test_close_ratio_is_difflib(spark):
         want = difflib.SequenceMatcher(None, a, b).ratio()
         assert got[k] == (pytest.approx(want) if want >= 0.6 else None)
         assert want < 0.6 or k in within
+
+
+def test_plain_pages_have_the_standard_library_s_tree(monkeypatch):
+    def tree(n):
+        return n if isinstance(n, str) else (n.tag, n.attrs, [tree(k) for k in n.kids])
+
+    def slow(page):
+        b = H._Builder()
+        b.feed(page)
+        b.close()
+        return b.root
+
+    bits = ["<table>", "</table>", "<tr>", "<td>", "</td>", "</ td>", "<td class=x>", '<a href="/s/a&amp;b">', "<A HREF='q>r' b>", "</A>", "<br/>", "<br />", "<p/ >", "<a b= \"x>", "text", " &amp; ", "&am", "p;", "&#65", "<", ">", "<!-- <b> -->", "<!DOCTYPE html>", "<!x>", "<?p>", "</>", "<b c=d/>", '<i a="">', '<i a="1"b="2">', "<script>", "</script>", "<title>", "</title>", "\n", "é ", '"', "<a\x0bb>", "<x-y>", "<td\tz>"]
+    r = random.Random(2)
+    for _ in range(6000):
+        page = "".join(r.choice(bits) for _ in range(r.randint(0, 14)))
+        assert tree(H.parse(page)) == tree(slow(page)), page
+    plain = PAGE.replace("<title>T &amp; U</title>", "")
+    want = tree(slow(plain))
+    monkeypatch.setattr(H._Builder, "feed", None)  # a plain page is not read by it at all
+    assert tree(H.parse(plain)) == want
