@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import difflib
+import gc
 import random
 
 import pytest
@@ -125,3 +126,20 @@ def test_plain_pages_have_the_standard_library_s_tree(monkeypatch):
     want = tree(slow(plain))
     monkeypatch.setattr(H._Builder, "feed", None)  # a plain page is not read by it at all
     assert tree(H.parse(plain)) == want
+
+
+def test_a_read_page_leaves_no_cycles_and_repeated_tags_are_told_once():
+    plain = PAGE.replace("<title>T &amp; U</title>", "")
+    want = H.schedule_rows(plain)
+    told = H._known_step.cache_info().misses
+    gc.collect()
+    gc.disable()
+    try:
+        assert H.schedule_rows(plain) == want
+        assert gc.collect() == 0  # the tree has gone with its last reader
+    finally:
+        gc.enable()
+    assert H._known_step.cache_info().misses == told
+    nested = "<div><table><tr><th>Date<th>Opponent<tbody><tr><td>1<td>a<b>b</b>c<table><tr><td><a href='/x'>y</table><td>d</table></div>tail"
+    rows = H.schedule_rows(nested)["rows"]
+    assert [(r["game_index"], r["cells"], r["opp_href"]) for r in rows] == [(0, ["1", "a b c y", "d"], "/x")] and H.schedule_rows(nested)["links"] == ["/x"]
