@@ -9,7 +9,7 @@ few), and lag-one serial correlation. Fisher's rule combines them: small values
 
 False-discovery control is on what is reported. The null hypothesis of a candidate is "an ordinary
 name": names are made in the same way for each family of encodings and each length (powers of two,
-as the tests' power depends on length) from the corpus's words, all that any of its texts has,
+as the tests' power depends on length) from the corpus's words, of which each that any of its texts has stands in a name of each of these,
 in lower, upper and camel case and with separators, most with a number. A candidate's score
 is the number of names of its family and length that have its encoding and look at least as random,
 and its p-value the share of all names of that family and length, whatever their encoding, whose own
@@ -21,12 +21,13 @@ rejects (combined value below ALPHA) is never reported, whatever names look like
 Candidates within the threshold are added as kind ``random``.
 
 Counts by stratum and grid cell and the number of words are all that the driver sees. There are as
-many names as candidates, NAMES for each stratum at least in which anything could be reported, so that the p-values get finer with the
-corpus. A corpus without words in ASCII letters has names made of FALLBACK words.
+many names as candidates, NAMES for each stratum at least in which anything could be reported, and so many that every word
+is in one, so that the p-values get finer with the corpus. A corpus without words in ASCII letters has names made of FALLBACK words.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -276,21 +277,28 @@ def corpus_words(docs: DataFrame, text_col: str) -> tuple[DataFrame, int]:
 def ordinary_names(words: DataFrame, count: int, strata: list[tuple[str, int]], each: int = NAMES) -> DataFrame:
     """``cands``: (start, end, body) of one name, made of the ``count`` ``words`` (w, place).
 
-    There are ``each`` for every (family, bucket) of ``strata``; any word may be drawn for any place of a name.
+    In every (family, bucket) of ``strata`` each word stands in a name, whole and beside those that follow it by place.
+    There are ``each`` names of a stratum at least; those beyond all words draw theirs.
     """
     spark = words.sparkSession
     draw = lambda n, *what: F.pmod(F.xxhash64("id", *[F.lit(w) if isinstance(w, str) else w for w in what]), (n if isinstance(n, Column) else F.lit(n)).cast("long")).cast("int")
-    rows = spark.range(0, each * len(strata))
     stratum = lambda k: F.element_at(F.split(F.lit(" ".join(str(_FAMILIES.index(x[0]) if k == 0 else x[1]) for x in strata)), " "), (F.col("id") % len(strata)).cast("int") + 1).cast("int")
-    family, bucket = stratum(0), stratum(1)
-    power = F.pow(F.lit(2), bucket).cast("int")
-    least, most = F.greatest(F.lit(MIN_RUN), power), F.least(F.lit(192), power * 2)
-    length = least + draw(most - least, "length")
-    pieces = rows.select("id", F.explode(F.sequence(F.lit(0), F.floor(length / 3).cast("int"))).alias("i"))  # words have three letters at least
+    letters = words.agg(F.avg(F.length("w")).alias("n")).first()["n"]
+    rows = []
+    for s, (family, bucket) in enumerate(strata):
+        # Names take low to low + span - 1 words in turn, so many that most of them have a length of the bucket.
+        word = letters + (family == "joined")
+        low = math.ceil(max(MIN_RUN, 1 << bucket) / word)
+        span = max(1, int(min(192, 2 << bucket) / word) - low + 1)
+        turn = span * low + span * (span - 1) // 2
+        k, r = F.col("id"), F.col("id") % span
+        start = F.floor(k / span) * turn + r * low + F.shiftright(r * (r - 1), 1)
+        rows.append(spark.range(0, max(each, -(-count // turn) * span)).select((k * len(strata) + s).alias("id"), start.alias("at"), (r + low).alias("n")))
+    pieces = functools.reduce(DataFrame.union, rows).select("id", "at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("i"))
     drawn = F.pmod(F.xxhash64("id", F.lit("word"), "i"), F.lit(count).cast("long"))
-    joined = pieces.withColumn("place", drawn).join(words, "place").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("i", "w"))).alias("words"))
-    rows = joined.select("id", "words", family.alias("family"), length.alias("n"), draw(F.lit(2), "at").alias("at"), draw(F.lit(4), "style").alias("style"))
-    rows = rows.withColumn("at", F.when(F.col("n") < 32, 0).otherwise(F.col("at")))
+    placed = pieces.select("id", "i", F.when(F.col("at") + F.col("i") < count, F.col("at") + F.col("i")).otherwise(drawn).alias("place"))
+    joined = placed.join(words, "place").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("i", "w"))).alias("words"))
+    rows = joined.select("id", "words", stratum(0).alias("family"), F.when(stratum(1) < 5, 0).otherwise(draw(F.lit(2), "at")).alias("at"), draw(F.lit(4), "style").alias("style"))
     number = F.when((F.col("family") < 2) | (draw(4, "bare") > 0), (draw(F.pow(F.lit(10), 1 + draw(4, "digits")), "number")).cast("string")).otherwise("")
 
     def piece(p: Column) -> Column:
@@ -299,7 +307,7 @@ def ordinary_names(words: DataFrame, count: int, strata: list[tuple[str, int]],
         mark = F.when(F.col("style") == 0, "/").when(F.col("style") == 1, "_").when((F.col("style") == 2) | (i % 2 == 0), "-").otherwise("/")
         return F.concat(cased, F.when(i == F.col("at"), number).otherwise(""), F.when(F.col("family") == 3, mark).otherwise(""))
 
-    body = F.substr(F.array_join(F.transform("words", piece), ""), F.lit(1), F.col("n"))
+    body = F.array_join(F.transform("words", piece), "")
     made = rows.select(body.alias("body"))
     one = F.array(F.struct(F.lit(0).alias("start"), F.length("body").alias("end"), F.col("body").alias("body")))
     return made.where(_candidate(F.col("body")) & (F.length("body") >= MIN_RUN)).select(one.alias("cands"))

@@ -279,3 +279,15 @@ def test_the_pipeline_s_stage_takes_every_word(spark, monkeypatch):
     monkeypatch.setattr(secrets, "ordinary_names", lambda words, count, *more: seen.append(count) or made(words, count, *more))
     out = corpus_pipeline.secrets_stage(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "")
     assert out.count() == 20 and seen == [len({w for t in texts for w in t.split()[:300]} | {"key"})]
+
+
+def test_every_word_stands_whole_in_a_name_of_each_stratum(spark):
+    r, letters = random.Random(14), "abcdefghijklmnopqrstuvwxyz"
+    want = sorted({"".join(r.choice(letters) for _ in range(r.randint(3, 12))) for _ in range(30_000)})
+    words, count = secrets.corpus_words(spark.createDataFrame([(k, " ".join(want[k::40])) for k in range(40)], "doc_id long, text string"), "text")
+    for stratum in (("camel", 5), ("joined", 6)):  # with 2,048 draws, most words stood in none
+        bodies = [x.cands[0].body for x in secrets.ordinary_names(words, count, [stratum]).collect()]
+        used = {w.lower() for b in bodies for w in re.findall("[A-Z][a-z]*|(?<![A-Za-z])[a-z]+", b)}
+        assert count == len(want) and len(used & set(want)) >= 0.97 * count  # but for names too short or without a number
+        inside = [b for b in bodies if 2 ** stratum[1] <= len(b) < 2 ** (stratum[1] + 1)]
+        assert len(inside) >= max(secrets.NAMES, 0.7 * len(bodies))
